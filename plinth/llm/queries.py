@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plinth.llm.dartminhash import near_duplicates
+from plinth.llm.mixing import ORACLE_SQL as MIXING_SQL
+from plinth.llm.mixing import mix_schedule
+from plinth.llm.pieces import sample_pieces
 from plinth.llm.repetition import repetition_scores
 from plinth.llm.suffix_dedup import repeated_passages
 
@@ -22,6 +25,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_scores(_table(spark, sf_dir, "documents")).where("kept").drop("kept")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(_table(spark, sf_dir, "documents"))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_schedule(_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -30,5 +41,5 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op6_minhash_near_dedup, op7_suffix_array_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op3_sentencepiece, op4_mix_sources, op6_minhash_near_dedup, op7_suffix_array_dedup)}
+ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIXING_SQL}
