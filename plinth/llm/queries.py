@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plinth.llm.chat import ORACLE_SQL as CHAT_SQL
+from plinth.llm.chat import canonical_turns, raw_records
 from plinth.llm.dartminhash import near_duplicates
+from plinth.llm.licenses import license_scan
 from plinth.llm.mixing import ORACLE_SQL as MIXING_SQL
 from plinth.llm.mixing import mix_schedule
 from plinth.llm.pieces import sample_pieces
 from plinth.llm.repetition import repetition_scores
 from plinth.llm.suffix_dedup import repeated_passages
+from plinth.llm.warc import warc_bundles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +37,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_schedule(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -41,5 +49,14 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op3_sentencepiece, op4_mix_sources, op6_minhash_near_dedup, op7_suffix_array_dedup)}
-ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIXING_SQL}
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles(_table(spark, sf_dir, "pages"))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations, brought into five layouts and back into canonical turns."""
+    return canonical_turns(raw_records(_table(spark, sf_dir, "conversations")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op3_sentencepiece, op4_mix_sources, op5_license_scan, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_warc, op10_chat_formatting)}
+ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIXING_SQL, "op10_chat_formatting": CHAT_SQL}
