@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plinth.llm.chat import ORACLE_SQL as CHAT_SQL
 from plinth.llm.chat import canonical_turns, raw_records
 from plinth.llm.dartminhash import near_duplicates
+from plinth.llm.embedding_dedup import embedding_near_duplicates
 from plinth.llm.licenses import license_scan
 from plinth.llm.mixing import ORACLE_SQL as MIXING_SQL
 from plinth.llm.mixing import mix_schedule
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the repetition rules keep, with their figures."""
     return repetition_scores(_table(spark, sf_dir, "documents")).where("kept").drop("kept")
@@ -58,5 +63,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_turns(raw_records(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op3_sentencepiece, op4_mix_sources, op5_license_scan, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_warc, op10_chat_formatting)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_sentencepiece, op4_mix_sources, op5_license_scan, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_warc, op10_chat_formatting)}
 ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIXING_SQL, "op10_chat_formatting": CHAT_SQL}
