@@ -15,6 +15,7 @@ from plinth.llm.mixing import ORACLE_SQL as MIXING_SQL
 from plinth.llm.mixing import mix_schedule
 from plinth.llm.pieces import sample_pieces
 from plinth.llm.repetition import repetition_scores
+from plinth.llm.site_style import site_text
 from plinth.llm.suffix_dedup import repeated_passages
 from plinth.llm.warc import warc_bundles
 
@@ -58,10 +59,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles(_table(spark, sf_dir, "pages"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations, brought into five layouts and back into canonical turns."""
     return canonical_turns(raw_records(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_sentencepiece, op4_mix_sources, op5_license_scan, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_warc, op10_chat_formatting)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_sentencepiece, op4_mix_sources, op5_license_scan, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_warc, op9_html_extraction, op10_chat_formatting)}
 ORACLE_SQL: dict[str, str] = {"op4_mix_sources": MIXING_SQL, "op10_chat_formatting": CHAT_SQL}
