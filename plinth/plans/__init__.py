@@ -1,10 +1,6 @@
 """Registry of the named queries over the driver's tables."""
 
-from __future__ import annotations
+from plinth.plans import events, gates, joins, ledger, places, texts  # noqa: F401
+from plinth.plans.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
