@@ -25,7 +25,7 @@ class Mapping:
 
     def paths(self) -> list[str]:
         if self.turns:
-            return [f"{self.turns[0]}[0].{self.turns[1]}", f"{self.turns[0]}[0].{self.turns[2]}"]
+            return [f"{self.turns[0]}[*].{self.turns[1]}", f"{self.turns[0]}[*].{self.turns[2]}"]
         return [p for _, ps in self.fields for p in ps]
 
 
@@ -65,6 +65,14 @@ def _text(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
+def _holds(v: Column, path: str) -> Column:
+    """Whether the path is there; [*] stands for any element of an array."""
+    at, star, field = path.partition("[*].")
+    if not star:
+        return F.try_variant_get(v, path, "variant").isNotNull()
+    return F.exists(F.try_variant_get(v, at, "array<variant>"), lambda x: F.try_variant_get(x, f"$.{field}", "variant").isNotNull())
+
+
 def _turns(v: Column, m: Mapping) -> Column:
     if m.turns:
         at, role, content = m.turns
@@ -88,7 +96,7 @@ def canonical_turns(records: DataFrame, raw_col: str = "raw", id_col: str = "con
     Repeated records are converted each; unknown fields are ignored; an empty table gives an empty result. No shuffle.
     """
     v = F.try_parse_json(F.col("__raw"))
-    there = F.array_compact(F.array(*[F.when(F.try_variant_get(F.col("__v"), p, "variant").isNotNull(), F.lit(p)) for p in known_paths(mappings)]))
+    there = F.array_compact(F.array(*[F.when(_holds(F.col("__v"), p), F.lit(p)) for p in known_paths(mappings)]))
     prints = F.create_map(*[F.lit(x) for kv in fingerprints(mappings).items() for x in kv])
     roles = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
     one = records.select(records[id_col].alias("conv_id"), records[raw_col].cast("string").alias("__raw")).withColumn("__v", v)
@@ -108,9 +116,10 @@ def canonical_turns(records: DataFrame, raw_col: str = "raw", id_col: str = "con
 def raw_records(conversations: DataFrame) -> DataFrame:
     """(conv_id, raw): the conversations as the JSON records of five layouts, which go round by conv_id.
 
-    A layout for one exchange is used where the conversation is one (with or without a system turn), else messages.
+    A layout for one exchange is used where the conversation is one (with or without a system turn), else messages. A
+    null role counts as user.
     """
-    turns = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    turns = conversations.withColumn("role", F.coalesce("role", F.lit("user"))).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
     kind, t = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(5)), F.col("t")
     roles = F.array_join(F.transform(t, lambda x: F.coalesce(x["role"], F.lit("?"))), ",")
     system, shift = F.when(roles.startswith("system"), F.element_at(t, 1)["text"]), F.when(roles.startswith("system"), 1).otherwise(0)
@@ -129,7 +138,7 @@ def _oracle() -> str:
     prints = {(m.name, opt): fingerprint([p for p in m.paths() if p not in m.optional] + list(opt)) for m in MAPPINGS for opt in ((), ("$.system",), ("$.input",), ("$.system", "$.input"))}
     return f"""
 WITH numbered AS (
-  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS INTEGER) AS turn, role, text AS content FROM conversations),
+  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS INTEGER) AS turn, role, text AS content FROM (SELECT * REPLACE (coalesce(role, 'user') AS role) FROM conversations)),
 shape AS (SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles FROM numbered GROUP BY conv_id),
 kinds AS (
   SELECT conv_id, roles LIKE 'system%' AS has_system,
