@@ -1,10 +1,10 @@
 """Near copies among embeddings: a navigable small-world graph per shard, every shard searched for every vector.
 
-Vectors are dealt to shards by the hash of their id. Each shard gets a graph; blocks of vectors are searched in each of
-them. A search's beam is widened until it holds a vector below the threshold, for each vector by itself, so no number
-of partners is too many; and beams of the whole block start wider until an audit passes, which holds a sample of its
-vectors against all vectors of the shard. Pairs found are verified by their exact cosine, and groups are the connected
-components.
+Vectors are dealt to shards by the hash of their id. Each shard gets a graph, and the vectors of every shard are
+searched in each of them, a block at a time. A search's beam is widened until it holds a vector below the threshold, for
+each vector by itself, so no number of partners is too many; and the beams of a whole block start wider until an audit
+passes, which holds a sample of its vectors against all vectors of the shard. Pairs found are verified by their exact
+cosine, and groups are the connected components.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ BLOCK = 1024
 BEAM = 16
 AUDIT_RECALL = 0.97
 AUDIT = 16
+PARTITIONS = 20_000
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -33,8 +34,8 @@ def _build(table: pa.Table) -> pa.Table:
     flat = np.asarray(table.column("embedding").combine_chunks().flatten(), np.float32).reshape(len(ids), -1)
     order = np.argsort(ids, kind="stable")
     graph = Graph.build(ids[order], flat[order] / np.linalg.norm(flat[order].astype(float), axis=1, keepdims=True).astype(np.float32))
-    blob = pickle.dumps((ids[order][graph.order], graph.vectors, graph.links), protocol=5)
-    return pa.table({"dim": table.column("dim")[:1], "shard": table.column("shard")[:1], "graph": pa.array([blob], pa.binary())})
+    vectors, links = pickle.dumps((ids[order][graph.order], graph.vectors), protocol=5), pickle.dumps(graph.links, protocol=5)
+    return pa.table({"dim": table.column("dim")[:1], "shard": table.column("shard")[:1], "vectors": pa.array([vectors], pa.binary()), "links": pa.array([links], pa.binary())})
 
 
 def found_pairs(graph: Graph, queries: np.ndarray, sample: np.ndarray, threshold: float, beam: int = BEAM, target: float = AUDIT_RECALL) -> tuple[np.ndarray, np.ndarray, int]:
@@ -65,17 +66,10 @@ def found_pairs(graph: Graph, queries: np.ndarray, sample: np.ndarray, threshold
 
 
 def _search(table: pa.Table, threshold: float) -> pa.Table:
-    """Edges between a block's vectors and a shard's; only as many as hold what was found together."""
-    ids, vectors, links = pickle.loads(table.column("graph")[0].as_py())
-    mine, queries = pickle.loads(table.column("queries")[0].as_py())
-    graph = Graph(vectors, links, 0)
-    lot = mix(mine.astype(np.int64).view(np.uint64))
-    sample = np.argsort(lot, kind="stable")[: max(AUDIT, len(mine) // 64)]
-    q, v, _ = found_pairs(graph, queries, sample, threshold)
-    sure = np.einsum("nd,nd->n", queries[q].astype(float), vectors[v].astype(float)) >= threshold
-    a, b = mine[q[sure]], ids[v[sure]]
-    apart = a != b
-    a, b = a[apart], b[apart]
+    """Edges between the vectors of two shards; only as many as hold what was found together."""
+    ids, vectors = pickle.loads(table.column("vectors")[0].as_py())
+    graph = Graph(vectors, pickle.loads(table.column("links")[0].as_py()), 0)
+    others, queries = pickle.loads(table.column("queries")[0].as_py())
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -85,21 +79,21 @@ def _search(table: pa.Table, threshold: float) -> pa.Table:
         return x
 
     kept = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, r = find(x), find(y)
-        if p != r:
-            root[max(p, r)] = min(p, r)
-            kept.append((x, y))
+    for at in range(0, len(others), BLOCK):
+        mine, block = others[at : at + BLOCK], queries[at : at + BLOCK]
+        lot = mix(mine.astype(np.int64).view(np.uint64))
+        sample = np.argsort(lot, kind="stable")[: max(AUDIT, len(mine) // 64)]
+        q, v, _ = found_pairs(graph, block, sample, threshold)
+        sure = np.einsum("nd,nd->n", block[q].astype(float), vectors[v].astype(float)) >= threshold
+        a, b = mine[q[sure]], ids[v[sure]]
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            p, r = find(x), find(y)
+            if p != r:
+                root[max(p, r)] = min(p, r)
+                kept.append((x, y))
     return pa.table({"a": pa.array([x for x, _ in kept], pa.int64()), "b": pa.array([y for _, y in kept], pa.int64())})
 
 
-def _blocks(table: pa.Table) -> pa.Table:
-    ids, vectors, _ = pickle.loads(table.column("graph")[0].as_py())
-    dim, shard = table.column("dim")[0], table.column("shard")[0]
-    blobs = [pickle.dumps((ids[a : a + BLOCK], vectors[a : a + BLOCK]), protocol=5) for a in range(0, len(ids), BLOCK)]
-    return pa.table({"dim": pa.array([dim.as_py()] * len(blobs), pa.int32()), "block": pa.array([f"{shard.as_py()}-{k}" for k in range(len(blobs))]), "queries": pa.array(blobs, pa.binary())})
-
-
 def embedding_near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_size: int = SHARD, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, keep_id) of every vector that has a near copy; keep_id is the least id of its group, also in its own row.
 
@@ -111,12 +105,14 @@ def embedding_near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD,
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = rows.where("vec_id is not null and size(embedding) > 0").where(fine).withColumn("dim", F.size("embedding"))
     rows = cut(rows.dropDuplicates(["vec_id"]), "vectors")
-    counts = rows.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_size)).cast("int").alias("shards"))
+    counts = cut(rows.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_size)).cast("int").alias("shards")), "counts")
+    shards, pairs = counts.agg(F.coalesce(F.sum("shards"), F.lit(1)), F.coalesce(F.sum(F.col("shards") * F.col("shards")), F.lit(1))).first()
     dealt = rows.join(counts, "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    graphs = cut(dealt.groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, graph binary"), "graphs")
-    blocks = graphs.groupBy("dim", "shard").applyInArrow(_blocks, "dim int, block string, queries binary")
-    pairs = blocks.join(graphs, "dim")
-    edges = cut(pairs.groupBy("dim", "shard", "block").applyInArrow(lambda table: _search(table, threshold), "a long, b long"), "cosine")
+    # The work is in the groups, not in their bytes: a number of partitions keeps adaptive execution from joining them.
+    built = dealt.repartition(min(int(shards), PARTITIONS), "dim", "shard").groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, vectors binary, links binary")
+    graphs = cut(built, "graphs")
+    both = graphs.select("dim", F.col("shard").alias("other"), F.col("vectors").alias("queries")).join(graphs, "dim").repartition(min(int(pairs), PARTITIONS), "dim", "shard", "other")
+    edges = cut(both.groupBy("dim", "shard", "other").applyInArrow(lambda table: _search(table, threshold), "a long, b long"), "cosine")
     found = components(edges, "groups")
-    discard(rows, graphs, edges)
+    discard(rows, counts, graphs, edges)
     return found.select(F.col("id").alias("vec_id"), F.col("root").alias("keep_id"))
