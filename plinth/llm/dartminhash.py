@@ -28,8 +28,10 @@ from plinth.llm.words import mix, ranges, slices, tokenise
 SHINGLE = 3
 BANDS, ROWS = 40, 4
 COORDINATES = BANDS * ROWS
-#: Similarity from which documents count as near copies; the signatures' estimate errs by 0.04.
+#: Similarity from which documents count as near copies.
 THRESHOLD = 0.5
+#: The estimate's standard error at the threshold is 0.04: pairs are taken from this much below it on.
+MARGIN = 0.06
 _DARTS = 7.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Upper ends of the Poisson(1) distribution: how many darts a cell of area 1 holds.
@@ -135,7 +137,7 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             one = front.pop()
-            near = (sign[rest] == sign[one]).mean(axis=1) >= threshold
+            near = (sign[rest] == sign[one]).mean(axis=1) >= threshold - MARGIN
             edges += [(ids[one], ids[other]) for other in rest[near]]
             front += list(rest[near])
             rest = rest[~near]
@@ -146,7 +148,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     """(doc_id, keep_id) of every document that has a near copy; keep_id is the least doc_id of its group, also in its own row.
 
     Two documents are near copies if the weighted Jaccard similarity of their 3-word shingles (letters and digits only,
-    ASCII case folded) is estimated at ``threshold`` or more; groups are the connected components. Documents that are
+    ASCII case folded) is estimated at ``threshold`` - ``MARGIN`` or
+    more; groups are the connected components. Documents that are
     null, empty or without words are no copies of anything. Rows that repeat a doc_id count once. An empty table gives
     an empty result, and other columns are ignored.
     """
