@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -238,7 +237,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if removed and len(text) < MIN_LEFT * len(whole := page_text(root, frozenset())[0]):
                 text, removed = whole, 0
             rows.append((page_id, host, text, removed))
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["page_id", "host", "text", "removed"]), pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("text", pa.string()), ("removed", pa.int32())]), preserve_index=False)
+        if rows:
+            page_id, host, text, removed = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(page_id, pa.int64()), pa.array(host, pa.string()), pa.array(text, pa.string()), pa.array(removed, pa.int32())], names=["page_id", "host", "text", "removed"])
 
 
 def site_text(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAMMA, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

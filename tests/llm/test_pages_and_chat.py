@@ -69,10 +69,10 @@ def test_style_tree_against_the_formula(spark):
 
 
 def test_site_text(spark):
-    rows = [*site(30), *[(100 + k, u, h) for k, u, h in site(2, "small")], (200, None, "<p>free</p>"), (201, "relative/x", ""), (202, "https://h.org/z", None)]
+    rows = [*site(30), *[(100 + k, u, h) for k, u, h in site(2, "small")], (200, None, "<p>free</p>"), (201, "relative/x", ""), (202, "https://h.org/z", None), (2**60 + 1, "x", "y"), (None, None, None)]
     df = pages(spark, rows)
     got = {r["page_id"]: r for r in site_style.site_text(df).collect()}
-    assert len(got) == len(rows)
+    assert len(got) == len(rows) and got[2**60 + 1]["text"] == "y" and got[None]["text"] == ""
     for k in range(30):
         assert got[k]["text"].split("\n") == [f"Title {k}", f"Story {k} tells of things {k * 7}."] and got[k]["removed"] >= 2
     assert "Home" in got[100]["text"] and got[200]["text"] == "free" and got[201]["text"] == "" and got[202]["text"] == ""
