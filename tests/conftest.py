@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
 
     s = (
         SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
