@@ -1,11 +1,12 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies them.
 
 Templates longer than ``MAX_WINDOW`` shingles fall into overlapping parts. A text is scanned with windows of each part's
-length that begin every quarter of it. Windows in which too few of all the templates' shingles lie for any template to
-be verified are passed over, which loses nothing. The others are given MinHash signatures; ``BANDS`` bands of ``ROWS``
-coordinates retrieve a window of Jaccard similarity s with a part with probability 1 - (1 - s ** ROWS) ** BANDS: above
-0.99 from s = 0.4 on (``collision_probability``), and a verifiable place always has a window of 0.5. A retrieved place
-is verified exactly: the share of the template's distinct shingles around it must reach ``CONTAINMENT``.
+length that begin every quarter of it. Windows that hold fewer than half of the template shingles needed to verify any
+part of their length are passed over without hashing. The others are given MinHash signatures; ``BANDS`` bands of
+``ROWS`` coordinates retrieve a window of Jaccard similarity s with a part with probability
+1 - (1 - s ** ROWS) ** BANDS, above 0.99 from s = 0.4 on (``collision_probability``); a template that stands in one
+piece, a fifth of its shingles changed, has a window of 0.5 or so. A retrieved place is verified exactly: the share of
+the template's distinct shingles around it must reach ``CONTAINMENT``.
 """
 
 from __future__ import annotations

@@ -195,11 +195,15 @@ def style_tree(pages: DataFrame, gamma: float = GAMMA, min_pages: int = MIN_PAGE
         done.append(below)
     discard(counts)
     if not done:
-        return nodes.select("site", "place", F.lit(1.0).alias("importance"), F.lit(1.0).alias("most"))
+        out = nodes.select("site", "place", F.lit(1.0).alias("importance"), F.lit(1.0).alias("most"))
+        out.reads = [nodes]
+        return out
     out = done[0]
     for other in done[1:]:
         out = out.unionByName(other)
-    return out.select("site", "place", "importance", "most")
+    out = out.select("site", "place", "importance", "most")
+    out.reads = [nodes, *done]
+    return out
 
 
 def page_text(root: Node, noise: frozenset[int] | set[int]) -> tuple[str, int]:
@@ -254,4 +258,5 @@ def site_text(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAM
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), host.alias("host"), F.xxhash64(host).alias("site"), pages[html_col].cast("string").alias("html"))
     tree = style_tree(rows.select("site", "html"), gamma, min_pages)
     noise = cut(tree.where(F.col("most") < threshold).groupBy("site").agg(F.collect_set("place").alias("noise")), "noise")
+    discard(*tree.reads)
     return rows.join(noise, "site", "left").mapInArrow(_extract, "page_id long, host string, text string, removed int")
