@@ -26,7 +26,7 @@ from plinth.llm.words import mix, powers, prefix_hash, ranges, slices, span_hash
 ALPHA = 0.5
 SEED = 17
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 
 
 def default_model() -> str:
