@@ -17,7 +17,7 @@ from plinth.llm.suffix_dedup import drop_repeated_passages
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_repetitive(docs)
+    return drop_repetitive(docs, min_repeated=0)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

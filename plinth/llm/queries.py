@@ -31,8 +31,8 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that the repetition rules keep, with their figures."""
-    return repetition_scores(_table(spark, sf_dir, "documents")).where("kept").drop("kept")
+    """The documents that the repetition rules keep, with their figures; the limits hold at every length."""
+    return repetition_scores(_table(spark, sf_dir, "documents"), min_repeated=0).where("kept").drop("kept")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

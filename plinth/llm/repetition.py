@@ -2,8 +2,9 @@
 
 For every document a suffix array over its words is built by prefix doubling, neighbouring suffixes give the
 longest-common-prefix intervals, and these the maximal repeated word sequences. The union of their spans gives the
-covered fraction; a document is rejected if that fraction or its longest repeat is above a limit, unless fewer than
-``MIN_REPEATED`` words are repeated at all.
+covered fraction; a document is rejected if that fraction or its longest repeat is above a limit. ``min_repeated`` spares
+documents with fewer repeated words than it names; the query and the pipeline set it to 0, so both limits hold at every
+length there.
 
 Defined results: a null or empty text, or one without words, has 0 words, fraction 0.0, longest repeat 0 and is kept.
 Equal rows get equal results each. Words of more than ``LONG_WORD`` bytes are taken apart into bytes, so text without
@@ -25,7 +26,7 @@ from plinth.llm.words import mix, prefix_hash, slices, span_hash, tokenise
 MIN_WORDS = 6
 MAX_FRACTION = 0.5
 MAX_LONGEST = 0.35
-#: Fewer repeated words than this are no evidence against a short text.
+#: Fewer repeated words than this are no evidence against a short text, unless a caller sets ``min_repeated``.
 MIN_REPEATED = 24
 LONG_WORD = 64
 
@@ -123,39 +124,39 @@ def batch_repeats(column: pa.Array, min_words: int) -> dict[str, np.ndarray]:
     return {"words": count, "fraction": fraction, "longest": longest, "repeated": repeated}
 
 
-def _keeps(found: dict[str, np.ndarray], max_fraction: float, max_longest: float) -> np.ndarray:
+def _keeps(found: dict[str, np.ndarray], max_fraction: float, max_longest: float, min_repeated: int) -> np.ndarray:
     mild = (found["fraction"] <= max_fraction) & (found["longest"] <= max_longest * found["words"])
-    return mild | (found["repeated"] < MIN_REPEATED)
+    return mild | (found["repeated"] < min_repeated)
 
 
-def _score(batches: Iterator[pa.RecordBatch], min_words: int, max_fraction: float, max_longest: float) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], min_words: int, max_fraction: float, max_longest: float, min_repeated: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         found = batch_repeats(batch.column("text"), min_words)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(found[k]) for k in ("words", "fraction", "longest")), pa.array(_keeps(found, max_fraction, max_longest))],
+            [batch.column("doc_id"), *(pa.array(found[k]) for k in ("words", "fraction", "longest")), pa.array(_keeps(found, max_fraction, max_longest, min_repeated))],
             names=["doc_id", "n_words", "repeated_fraction", "longest_repeat", "kept"],
         )
 
 
-def repetition_scores(docs: DataFrame, min_words: int = MIN_WORDS, max_fraction: float = MAX_FRACTION, max_longest: float = MAX_LONGEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repetition_scores(docs: DataFrame, min_words: int = MIN_WORDS, max_fraction: float = MAX_FRACTION, max_longest: float = MAX_LONGEST, id_col: str = "doc_id", text_col: str = "text", min_repeated: int = MIN_REPEATED) -> DataFrame:
     """(doc_id, n_words, repeated_fraction, longest_repeat, kept), one row per document; no shuffle.
 
     longest_repeat is in words; ``kept`` is false where repeated_fraction is above ``max_fraction`` or longest_repeat
-    above ``max_longest`` times n_words, and at least ``MIN_REPEATED`` words are repeated.
+    above ``max_longest`` times n_words, and at least ``min_repeated`` words are repeated.
     """
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        partial(_score, min_words=min_words, max_fraction=max_fraction, max_longest=max_longest),
+        partial(_score, min_words=min_words, max_fraction=max_fraction, max_longest=max_longest, min_repeated=min_repeated),
         "doc_id long, n_words long, repeated_fraction double, longest_repeat long, kept boolean",
     )
 
 
-def _filter(batches: Iterator[pa.RecordBatch], text: str, min_words: int, max_fraction: float, max_longest: float) -> Iterator[pa.RecordBatch]:
+def _filter(batches: Iterator[pa.RecordBatch], text: str, min_words: int, max_fraction: float, max_longest: float, min_repeated: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, text):
-        kept = batch.filter(pa.array(_keeps(batch_repeats(batch.column(text), min_words), max_fraction, max_longest)))
+        kept = batch.filter(pa.array(_keeps(batch_repeats(batch.column(text), min_words), max_fraction, max_longest, min_repeated)))
         if kept.num_rows:
             yield kept
 
 
-def drop_repetitive(docs: DataFrame, min_words: int = MIN_WORDS, max_fraction: float = MAX_FRACTION, max_longest: float = MAX_LONGEST, text_col: str = "text") -> DataFrame:
+def drop_repetitive(docs: DataFrame, min_words: int = MIN_WORDS, max_fraction: float = MAX_FRACTION, max_longest: float = MAX_LONGEST, text_col: str = "text", min_repeated: int = MIN_REPEATED) -> DataFrame:
     """The documents that ``repetition_scores`` keeps, with all their columns; no join and no shuffle."""
-    return docs.mapInArrow(partial(_filter, text=text_col, min_words=min_words, max_fraction=max_fraction, max_longest=max_longest), docs.schema)
+    return docs.mapInArrow(partial(_filter, text=text_col, min_words=min_words, max_fraction=max_fraction, max_longest=max_longest, min_repeated=min_repeated), docs.schema)

@@ -54,6 +54,18 @@ def test_repetition_rules(spark):
     assert repetition.repetition_scores(df.limit(0)).count() == 0
 
 
+def test_limits_hold_for_short_documents(spark, tmp_path):
+    import corpus_pipeline
+    from plinth.llm.queries import op2_quality_rules
+
+    page = "The and attion to thanedble the, anea. Eriner thanea."
+    rows = [(1, f"{page}\nHaanon a ansh.\n{page}"), (2, page), (3, "one two three four five six seven " * 2)]
+    df = spark.createDataFrame(rows, TEXT)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r["doc_id"] for r in op2_quality_rules(spark, str(tmp_path)).collect()] == [2]
+    assert [r["doc_id"] for r in corpus_pipeline.quality_rules(spark, df, "").collect()] == [2]
+
+
 ODD = ["Hello  world", "\thi\r\nyo ﬁ ½ é  ", " lead", "a▁b", "", None, "   ", "日本語テキスト😀 ok", "a" * 3000, "▁", "x", "ends   here", "\x00\x01"]
 
 
