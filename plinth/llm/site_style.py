@@ -34,8 +34,6 @@ from plinth.llm.components import cut, discard
 
 GAMMA = 0.9
 THRESHOLD = 0.8
-#: A page that would keep less than this share of its text is a copy of others as a whole and keeps everything.
-MIN_LEFT = 0.3
 MIN_PAGES = 4
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -238,8 +236,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _ in place_nodes(root, site):
                 pass
             text, removed = page_text(root, {x & 0xFFFFFFFFFFFFFFFF for x in noise or ()})
-            if removed and len(text) < MIN_LEFT * len(whole := page_text(root, frozenset())[0]):
-                text, removed = whole, 0
+            if removed and not text:
+                # All of its content is in places that others share: a copy as a whole.
+                text, removed = page_text(root, frozenset())[0], 0
             rows.append((page_id, host, text, removed))
         if rows:
             page_id, host, text, removed = zip(*rows, strict=True)
@@ -250,9 +249,9 @@ def site_text(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAM
     """(page_id, host, text, removed): each page's text without the branches that its site repeats, and how many went.
 
     The host is the lower-cased authority of the url; null or relative urls share the host ''. Null or empty html gives
-    an empty text. A page of which less than ``MIN_LEFT``
-    would be left keeps everything. Repeated rows count as pages of their own;
-    an empty table gives an empty result; other columns are ignored.
+    an empty text. A page of which no text would be left, as all of it is in branches that other pages share, is a copy
+    as a whole and keeps everything; any other keeps what is its own, however little. Repeated rows count as pages of
+    their own; an empty table gives an empty result; other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(pages[url_col].cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), host.alias("host"), F.xxhash64(host).alias("site"), pages[html_col].cast("string").alias("html"))

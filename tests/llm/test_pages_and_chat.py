@@ -84,6 +84,15 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {r["text"] for r in site_style.site_text(pages(spark, rows)).collect()} == {"The same story in full, told at some length here."}
 
 
+def test_small_articles_lose_their_large_menus(spark):
+    menu = "<nav>" + "".join(f"<a href='/{k}'>Section number {k}</a>" for k in range(20)) + "</nav>"
+    rows = [(k, f"https://m.org/{k}", f"<body>{menu}<article><p>Brief {k}.</p></article></body>") for k in range(20)]
+    copies = [(100 + k, "https://m.org/c", f"<body>{menu}<section><p>One story told over and over.</p></section></body>") for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in site_style.site_text(pages(spark, rows + copies)).collect()}
+    assert [got[k] for k in range(20)] == [f"Brief {k}." for k in range(20)]
+    assert all("One story told over and over." in got[k] for k in range(100, 108))
+
+
 RECORDS = [
     ({"messages": [{"role": "System", "content": "s"}, {"role": "user", "content": "q"}, {"role": "assistant", "content": None}, {"role": "assistant", "content": ""}], "extra": {"a": 1}}, "messages", [("system", "s"), ("user", "q"), ("assistant", "")]),
     ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, "share", [("user", "q"), ("assistant", "a")]),
