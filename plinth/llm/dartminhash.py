@@ -1,6 +1,7 @@
 """Near-duplicate documents by DartMinHash signatures of weighted word shingles.
 
-A document is a weighted set: its shingles of ``SHINGLE`` words, each as heavy as it is frequent. Every element owns a
+A document is a weighted set: its shingles of ``SHINGLE`` words, each as heavy as it is frequent. In scripts without
+spaces, and in unbroken runs of more than ``LONG_WORD`` bytes, each character is a word. Every element owns a
 fixed random pattern of darts over the plane (weight, rank), one on average in each unit of area; the darts that fall
 below the element's weight count. A dart also names one of ``COORDINATES`` coordinates, and the earliest dart of each
 coordinate is kept. Two documents then agree in a coordinate with the probability of their weighted Jaccard similarity.
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.llm.components import components, cut, discard
+from plinth.llm.repetition import LONG_WORD
 from plinth.llm.words import mix, ranges, slices, tokenise
 
 SHINGLE = 3
@@ -42,7 +44,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def weighted_shingles(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, element, weight) of each distinct shingle of each row, by row. Texts of fewer words are one shingle."""
-    words = tokenise(column, signs=True, lower=True)
+    words = tokenise(column, signs=True, lower=True, split_over=LONG_WORD, characters=True)
     n = len(words.start)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0)

@@ -1,6 +1,7 @@
 """Passages that repeat across a corpus, by a hash-compared suffix sort.
 
-A passage is a run of ``MIN_WORDS`` words (white space aside) that occurs at two places or more. Every window of that
+A passage is a run of ``MIN_WORDS`` words (white space aside) that occurs at two places or more. In scripts without
+spaces, and in unbroken runs of more than ``LONG_WORD`` bytes, each character is a word. Every window of that
 many words is assigned to its anchor: the leftmost word position in it whose ``GRAM``-word hash is least. Equal windows
 have equal anchors, so suffixes need only be compared with those whose anchor has the same hash, and anchors whose hash
 occurs once are dropped before any text moves. For the others the text around the anchor goes to the anchor's bucket.
@@ -22,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plinth.llm.components import cut, discard
+from plinth.llm.repetition import LONG_WORD
 from plinth.llm.words import Words, mix, prefix_hash, ranges, slices, span_hash, tokenise
 
 MIN_WORDS = 50
@@ -56,16 +58,26 @@ def _windows(words: Words, min_words: int, gram: int) -> tuple[np.ndarray, np.nd
 
 def _anchors(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        words = tokenise(batch.column("text"))
+        words = tokenise(batch.column("text"), split_over=LONG_WORD, characters=True)
         anchor, value, _, _ = _windows(words, min_words, gram)
         if anchor.size:
             row = words.row[anchor]
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array((anchor - words.first[row]).astype(np.int32))], names=["gram", "doc_id", "pos"])
 
 
+def _spaced(words: Words, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, size of each) of the words low..high-1 with a space after each, so that plain white space tells them apart."""
+    count = high - low
+    at = np.repeat(low, count) + ranges(count)
+    size = words.end[at] - words.start[at] + 1
+    text = words.data[np.minimum(np.repeat(words.start[at], size) + ranges(size), len(words.data) - 1)]
+    text[np.cumsum(size) - 1] = 32
+    return text, np.add.reduceat(size, np.cumsum(count) - count) if len(count) else count
+
+
 def _contexts(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        words = tokenise(batch.column("text"))
+        words = tokenise(batch.column("text"), split_over=LONG_WORD, characters=True)
         anchor, value, low, high = _windows(words, min_words, gram)
         if not anchor.size:
             continue
@@ -74,10 +86,13 @@ def _contexts(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> I
         places = np.repeat(words.first[:-1], counts) + np.asarray(wanted.flatten())
         some = np.isin(anchor, places)
         anchor, value, low, high = anchor[some], value[some], low[some], high[some]
-        begin, end = words.start[low], words.end[high + min_words - 1]
-        size = end - begin
         row, first = words.row[anchor], words.first[words.row[anchor]]
-        text = words.data[np.repeat(begin, size) + ranges(size)]
+        if ((words.start[1:] == words.end[:-1]) & (words.row[1:] == words.row[:-1])).any():
+            text, size = _spaced(words, low, high + min_words)
+        else:
+            begin, end = words.start[low], words.end[high + min_words - 1]
+            size = end - begin
+            text = words.data[np.repeat(begin, size) + ranges(size)]
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         context = pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
         yield pa.RecordBatch.from_arrays(
@@ -205,7 +220,7 @@ def _repeats(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start_word, end_word, kept, first_doc_id): the spans of each document that repeat ``min_words`` words or more of the corpus.
 
-    Spans are counted in white-space separated words, end excluded; overlapping spans of one kind are merged. ``kept``
+    Spans are counted in white-space separated words (characters where text is unbroken), end excluded; overlapping spans of one kind are merged. ``kept``
     is true for the first place of a passage (least doc_id, then position) and false for its repeats, whose words
     ``drop_repeated_passages`` removes; first_doc_id is the least document with a first place in the span. A document
     that repeats itself counts too. Null and empty texts, and texts of fewer words, have no spans. Rows with equal
@@ -226,7 +241,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = G
 
 def _remove(batches: Iterator[pa.RecordBatch], text: str, length: str | None, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, text):
-        words = tokenise(batch.column(text))
+        words = tokenise(batch.column(text), split_over=LONG_WORD, characters=True)
         spans = batch.column("__spans")
         touched = np.flatnonzero(np.diff(np.asarray(spans.offsets)) > 0)
         values = batch.column(text).to_pylist() if touched.size else None

@@ -6,8 +6,10 @@ documents. Hashes are 64-bit and depend only on a word's bytes, so they agree be
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,10 @@ SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Fal
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+#: Code points of scripts that put no spaces between words, with their punctuation: each is a word by itself.
+_UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x312F), (0x31A0, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF00, 0xFFEF), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF))
+_LETTER, _SOLO, _SIGN = range(3)
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -95,6 +101,30 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             at = end
 
 
+@cache
+def _classes() -> np.ndarray:
+    """Of each code point from 0x80: a letter of a word, a word by itself, or (punctuation, spaces, controls) a sign."""
+    out = np.zeros((2, 0x110000), np.uint8)
+    for low, high in _UNSPACED:
+        out[:, low : high + 1] = _SOLO
+    signs = [c for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("Cc", "Zs", "Zl", "Zp", "Pc", "Pd", "Pe", "Pf", "Pi", "Po", "Ps")]
+    out[1, signs] = _SIGN
+    return out
+
+
+def _beyond_ascii(data: np.ndarray, signs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, size, class) of each character from 0x80."""
+    lead = np.flatnonzero(data >= 0xC0)
+    head = data[lead].astype(np.int64)
+    size = 2 + (head >= 0xE0) + (head >= 0xF0)
+    code = head & (0x7F >> size)
+    for k in range(1, 4):
+        more = size > k
+        follow = data[np.minimum(lead + k, len(data) - 1)] & 0x3F
+        code = np.where(more, code << 6 | follow, code)
+    return lead, size, _classes()[int(signs)][np.minimum(code, 0x10FFFF)]
+
+
 @dataclass
 class Words:
     """Words of a batch in reading order. ``first[d]:first[d + 1]`` are the words of row d."""
@@ -111,13 +141,23 @@ class Words:
         return mix(span_hash(prefix, self.start, self.end))
 
 
-def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_over: int = 0) -> Words:
-    """Words of each row. signs: punctuation separates words too. split_over: longer words fall into single bytes."""
+def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_over: int = 0, characters: bool = False) -> Words:
+    """Words of each row. signs: punctuation separates words too. split_over: longer words fall into single bytes.
+
+    characters: of scripts without spaces each character is a word, and longer words than ``split_over`` fall into
+    characters; with ``signs``, punctuation beyond ASCII separates words too.
+    """
     data, offs = string_buffers(column)
     if lower:
         data = _LOWER[data]
     inside = ~(SIGNS if signs else SPACES)[data]
     n = len(data)
+    solo, width = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if characters and n:
+        lead, size, kind = _beyond_ascii(data, signs)
+        sign = kind == _SIGN
+        inside[np.repeat(lead[sign], size[sign]) + ranges(size[sign])] = False
+        solo, width = lead[kind == _SOLO], size[kind == _SOLO]
     opens, closes = inside.copy(), inside.copy()
     if n:
         opens[1:] &= ~inside[:-1]
@@ -125,11 +165,20 @@ def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_o
         filled = np.flatnonzero(np.diff(offs))
         heads, tails = offs[filled], offs[filled + 1] - 1
         opens[heads], closes[tails] = inside[heads], inside[tails]
+    if solo.size:
+        after, before = (solo + width)[solo + width < n], (solo - 1)[solo > 0]
+        opens[after], closes[before] = inside[after], inside[before]
+        opens[solo], closes[solo + width - 1] = True, True
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     if split_over and len(start) and (long := np.flatnonzero(end - start > split_over)).size:
-        pieces = np.concatenate([np.arange(start[i], end[i]) for i in long])
+        size = end[long] - start[long]
+        pieces = np.repeat(start[long], size) + ranges(size)
+        tops = pieces + 1
+        if characters:
+            pieces = pieces[data[pieces] & 0xC0 != 0x80]
+            tops = np.sort(np.concatenate([np.setdiff1d(pieces, start[long]), end[long]]))
         start = np.sort(np.concatenate([np.delete(start, long), pieces]))
-        end = np.sort(np.concatenate([np.delete(end, long), pieces + 1]))
+        end = np.sort(np.concatenate([np.delete(end, long), tops]))
     first = np.searchsorted(start, offs)
     row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
     return Words(data, offs, start, end, first, row)

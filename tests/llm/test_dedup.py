@@ -10,6 +10,7 @@ import pytest
 
 from plinth.llm import components, dartminhash, embedding_dedup, suffix_dedup
 from plinth.llm.hnsw import Graph
+from plinth.llm.words import tokenise
 
 WORDS = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnpr"]
 DOC = "doc_id long, text string"
@@ -179,6 +180,42 @@ def test_removal_keeps_first_places(spark):
     assert suffix_dedup.drop_repeated_passages(twice, 12, 5).count() == 2
 
 
+def unbroken(rng, n, low=0x4E00, high=0x9F00):
+    return "".join(chr(rng.randrange(low, high)) for _ in range(n))
+
+
+def test_words_of_unbroken_text():
+    def words(text, **how):
+        w = tokenise(pa.array([text, text]), split_over=64, characters=True, **how)
+        found = [w.data[a:b].tobytes().decode() for a, b in zip(w.start, w.end, strict=True)]
+        assert found[: len(found) // 2] == found[len(found) // 2 :]
+        return found[: len(found) // 2]
+
+    assert words("ab你好,x é。世 ไท", signs=True) == ["ab", "你", "好", "x", "é", "世", "ไ", "ท"]
+    assert words("ab你好,x é。世") == ["ab", "你", "好", ",x", "é", "。", "世"]
+    assert words("é" * 33) == ["é"] * 33 and words("é" * 32) == ["é" * 32] and words("“a” b…", signs=True) == ["a", "b"]
+
+
+def test_near_copies_of_unbroken_text(spark):
+    rng = random.Random(21)
+    rows, want = [], {}
+    for k, one in enumerate([unbroken(rng, 200), unbroken(rng, 200, 0xE01, 0xE2F), unbroken(rng, 400, 0x61, 0x7B)]):
+        rows += [(10 * k, one), (10 * k + 1, one[:100] + "x" + one[101:]), (10 * k + 2, unbroken(rng, 200))]
+        want |= {10 * k: 10 * k, 10 * k + 1: 10 * k}
+    assert {r["doc_id"]: r["keep_id"] for r in dartminhash.near_duplicates(spark.createDataFrame(rows, DOC)).collect()} == want
+
+
+def test_repeated_passages_of_unbroken_text(spark):
+    rng = random.Random(22)
+    for shared, low, high in ((unbroken(rng, 80), 0x4E00, 0x9F00), (unbroken(rng, 80, 0x61, 0x7B), 0x61, 0x7B), (unbroken(rng, 80, 0x3C9, 0x3CF), 0x61, 0x7B)):
+        rows = [(k, unbroken(rng, 90 + k, low, high) + shared + unbroken(rng, 70 + k, low, high)) for k in range(3)] + [(9, prose(rng, 80))]
+        df = spark.createDataFrame(rows, DOC)
+        want = brute_windows([(k, t if k == 9 else " ".join(t)) for k, t in rows], 50)
+        assert spans(suffix_dedup.repeated_passages(df)) == want and set(range(92, 172)) <= want[2][1]
+        texts = {r["doc_id"]: r["text"] for r in suffix_dedup.drop_repeated_passages(df).collect()}
+        assert texts == {k: t if k == 9 else "".join(c for at, c in enumerate(t) if at not in want[k][1]) for k, t in rows}
+
+
 def vectors(n=900, dim=16, seed=5):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dim))
