@@ -192,6 +192,28 @@ def test_near_duplicate_chain(spark):
     assert pairs(articles.near_duplicate_titles(table(spark, rows, schema)), "id") == [("a",), ("c",), ("e",)]
 
 
+def test_near_duplicate_titles_are_whole_texts(spark, tmp_path):
+    import random
+
+    from plinth.plans import QUERIES
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    opening, texts = " ".join(word() for _ in range(12)), []
+    for _ in range(12):
+        body = [word() for _ in range(rng.randrange(30, 90))]
+        texts.append(f"{opening} {' '.join(body)}")
+        texts += [f"{word()} {opening} {' '.join(w if rng.random() > share else word() for w in body)}" for share in (0.02, 0.1, 0.2, 0.4)]
+        texts.append(texts[-1])
+    rows = [(k, t, rng.choice(["en", "de"])) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    sets, kept = {k: set(t.upper().split()) for k, t, _ in rows}, []
+    for k, t, lang in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
+        if not any(t == rows[o][1] or lang == rows[o][2] and len(sets[k] & sets[o]) / len(sets[k] | sets[o]) >= 0.72 for o in kept):
+            kept.append(k)
+    assert sorted(r["id"] for r in QUERIES["near_duplicate_titles"](spark, str(tmp_path)).collect()) == sorted(kept) and len(kept) > 12
+
+
 def test_phrases(spark):
     terms = articles.catalogue(table(spark, [("Old Oak",), ("Oak Lane",), ("x",), (None,)], "t string"), "t")
     docs = table(spark, [(1, "the old OAK, lane"), (2, "oaklane"), (3, None)], "id int, t string")
