@@ -31,6 +31,8 @@ _LOWER[65:91] += 32
 #: Code points of scripts that put no spaces between words, with their punctuation: each is a word by itself.
 _UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x312F), (0x31A0, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF00, 0xFFEF), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF))
 _LETTER, _SOLO, _SIGN = range(3)
+#: Two characters of such a script count as one word.
+SOLO_WEIGHT = 0.5
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -135,17 +137,21 @@ class Words:
     end: np.ndarray
     first: np.ndarray
     row: np.ndarray
+    #: What each word counts: 1, a character of a script without spaces ``SOLO_WEIGHT``, and the pieces of a split word
+    #: their bytes' share of ``split_over``.
+    weight: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
         prefix = prefix_hash(self.data.astype(np.uint64) + np.uint64(1))
         return mix(span_hash(prefix, self.start, self.end))
 
 
-def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_over: int = 0, characters: bool = False) -> Words:
+def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_over: int = 0, characters: bool = False, weigh: bool = False) -> Words:
     """Words of each row. signs: punctuation separates words too. split_over: longer words fall into single bytes.
 
     characters: of scripts without spaces each character is a word, and longer words than ``split_over`` fall into
-    characters; with ``signs``, punctuation beyond ASCII separates words too.
+    characters; with ``signs``, punctuation beyond ASCII separates words too. weigh: also gives each word's weight, by
+    which a word that is split still counts as its size goes: a byte more or less makes no difference.
     """
     data, offs = string_buffers(column)
     if lower:
@@ -170,6 +176,7 @@ def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_o
         opens[after], closes[before] = inside[after], inside[before]
         opens[solo], closes[solo + width - 1] = True, True
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    tops = None
     if split_over and len(start) and (long := np.flatnonzero(end - start > split_over)).size:
         size = end[long] - start[long]
         pieces = np.repeat(start[long], size) + ranges(size)
@@ -181,7 +188,14 @@ def tokenise(column: pa.Array, signs: bool = False, lower: bool = False, split_o
         end = np.sort(np.concatenate([np.delete(end, long), tops]))
     first = np.searchsorted(start, offs)
     row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
-    return Words(data, offs, start, end, first, row)
+    weight = None
+    if weigh:
+        weight = np.ones(len(start))
+        weight[np.searchsorted(start, solo)] = SOLO_WEIGHT
+        if tops is not None:
+            at = np.searchsorted(start, pieces)
+            weight[at] = (end[at] - start[at]) / split_over
+    return Words(data, offs, start, end, first, row, weight)
 
 
 def ranges(count: np.ndarray) -> np.ndarray:
