@@ -4,7 +4,9 @@ Pieces of the model hold a space sign only at their beginning, so a text falls i
 follows it up to the next space) whose lattices are independent. For each distinct segment the forward filter sums over
 all segmentations ending at each position; for each occurrence the segmentation is then drawn backwards, piece by piece.
 The random numbers are hashes of the row's key and the position in the text, so a row always gets the same pieces,
-wherever and in whatever company it is encoded. All segments of a batch are worked on at once.
+wherever and in whatever company it is encoded. All segments of a batch are worked on at once. Long segments (text
+without spaces) are cut before every character that no piece spans: all paths meet there, so the parts are independent.
+Equal segments share a lattice; their bytes are compared, not only their hashes.
 
 A piece of rank r among the model's merges weighs ``(r + 2) ** -alpha``: a large alpha gives the best segmentation, 0
 draws all alike. A character that isn't in the vocabulary becomes its UTF-8 bytes, and so does a literal U+2581, which
@@ -27,6 +29,8 @@ ALPHA = 0.5
 SEED = 17
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 19
+#: Segments of more bytes are cut where all paths of their lattice meet, which changes no probability and no draw.
+LONG = 64
 
 
 def default_model() -> str:
@@ -94,14 +98,10 @@ def _code_points(data: np.ndarray, lead: np.ndarray, width: np.ndarray) -> np.nd
     return out
 
 
-def _lattice(m: Model, data: np.ndarray, begin: np.ndarray, size: np.ndarray, alpha: float) -> tuple[np.ndarray, ...]:
-    """For distinct segments: where each node's arcs begin (node = byte of a segment's end, counted over all), and for each arc its length, piece and cumulative probability."""
-    total = int(size.sum())
-    own = np.repeat(np.arange(len(size)), size)
-    inner = ranges(size)
-    text = data[np.repeat(begin, size) + inner]
+def _arcs(m: Model, text: np.ndarray, inner: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, length, piece) of every piece that lies within a segment. inner, left: bytes of the segment before and from each byte on."""
+    total = len(text)
     prefix = prefix_hash(text.astype(np.uint64) + np.uint64(1))
-    left = size[own] - inner
     at = np.flatnonzero((text & 0xC0) != 0x80)
     ends_char = np.ones(total + 1, bool)
     ends_char[:total] = (text & 0xC0) != 0x80
@@ -120,7 +120,25 @@ def _lattice(m: Model, data: np.ndarray, begin: np.ndarray, size: np.ndarray, al
         starts.append(p[hit])
         lengths.append(np.full(int(hit.sum()), length, np.int64))
         pieces.append(m.id[place[hit]])
-    start, length, piece = (np.concatenate(x) for x in (starts, lengths, pieces))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, lengths, pieces))
+
+
+def _cuts(m: Model, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where these segments can be cut: before characters that no piece of the lattice spans, so that every path passes."""
+    inner = ranges(size)
+    at = np.repeat(begin, size) + inner
+    text = data[at]
+    start, length, _ = _arcs(m, text, inner, np.repeat(size, size) - inner)
+    edge = np.bincount(start + 1, minlength=len(text) + 1) - np.bincount(start + length, minlength=len(text) + 1)
+    free = (np.cumsum(edge[: len(text)]) == 0) & ((text & 0xC0) != 0x80) & (inner > 0)
+    return at[free]
+
+
+def _lattice(m: Model, data: np.ndarray, begin: np.ndarray, size: np.ndarray, alpha: float) -> tuple[np.ndarray, ...]:
+    """For distinct segments: where each node's arcs begin (node = byte of a segment's end, counted over all), and for each arc its length, piece and cumulative probability."""
+    total = int(size.sum())
+    inner = ranges(size)
+    start, length, piece = _arcs(m, data[np.repeat(begin, size) + inner], inner, np.repeat(size, size) - inner)
     last = start + length - 1
     depth = inner[last] + 1
     order = np.argsort((depth * total + last) * (m.longest + 1) + length)
@@ -152,6 +170,31 @@ def _lattice(m: Model, data: np.ndarray, begin: np.ndarray, size: np.ndarray, al
     return first, length.astype(np.int32), piece, inside
 
 
+def _segments(head: np.ndarray, spelt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, size) of the segments that pieces can spell."""
+    start = np.flatnonzero(head)
+    size = np.diff(np.concatenate([start, [len(head)]]))
+    normal = ~spelt[start]
+    return start[normal], size[normal]
+
+
+def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each segment, a segment of each code). Equal codes have equal bytes: what only has an equal hash gets a code of its own."""
+    code, keys = pd.factorize(mix(span_hash(prefix_hash(data.astype(np.uint64) + np.uint64(1)), start, start + size)))
+    sample = np.empty(len(keys), np.int64)
+    sample[code[::-1]] = np.arange(len(code))[::-1]
+    like = sample[code]
+    wrong = size[like] != size
+    same = np.flatnonzero(~wrong & (like != np.arange(len(code))))
+    step = ranges(size[same])
+    differ = data[np.repeat(start[same], size[same]) + step] != data[np.repeat(start[like[same]], size[same]) + step]
+    if differ.any():
+        wrong[np.repeat(same, size[same])[differ]] = True
+    odd = np.flatnonzero(wrong)
+    code[odd] = len(sample) + np.arange(len(odd))
+    return code, np.concatenate([sample, odd])
+
+
 class Encoder:
     def __init__(self, path: str, alpha: float = ALPHA, seed: int = SEED) -> None:
         self.model, self.alpha, self.seed = model(path), alpha, seed
@@ -192,15 +235,13 @@ class Encoder:
         spelt[np.repeat(lead, width) + ranges(width)] = True
         tokens = np.full(n, -1, np.int32)
         tokens[spelt] = m.byte_id[data[spelt]]
-        start = np.flatnonzero(head)
-        size = np.diff(np.concatenate([start, [n]]))
-        normal = ~spelt[start]
-        start, size = start[normal], size[normal]
+        start, size = _segments(head, spelt)
+        long = size > LONG
+        if long.any():
+            head[_cuts(m, data, start[long], size[long])] = True
+            start, size = _segments(head, spelt)
         if start.size:
-            prefix = prefix_hash(data.astype(np.uint64) + np.uint64(1))
-            code, distinct = pd.factorize(mix(span_hash(prefix, start, start + size)))
-            sample = np.empty(len(distinct), np.int64)
-            sample[code[::-1]] = np.arange(len(code))[::-1]
+            code, sample = _distinct(data, start, size)
             first, length, piece, upto = _lattice(m, data, start[sample], size[sample], self.alpha)
             base = (np.cumsum(size[sample]) - size[sample])[code]
             row = np.searchsorted(end, start, side="right")
@@ -260,7 +301,9 @@ def sample_pieces(docs: DataFrame, path: str | None = None, alpha: float = ALPHA
     """(doc_id, pieces, n_pieces, lossless): one sampled segmentation of each text, and whether decoding it gave the text.
 
     Null and empty texts have no pieces and are lossless (null decodes to the empty text); rows with a null key are
-    encoded with key 0. Rows with equal key and text get equal pieces. Other columns are ignored; no shuffle.
+    encoded with key 0. Rows with equal key and text get equal pieces. A very long text is encoded whole, with or without
+    spaces; a run that has no place to cut (one letter a million times) takes a step a byte. An empty table gives an empty
+    result. Other columns are ignored; no shuffle.
     """
     where = path or default_model()
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(

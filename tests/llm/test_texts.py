@@ -192,3 +192,88 @@ def test_mix_of_odd_rows(spark):
     assert mixing.mix_schedule(df.limit(0)).count() == 0 and mixing.mixed_documents(df.limit(0)).count() == 0
     _, only = mixed(spark, rows, weights={"c": 1.0}, block_tokens=100)
     assert {r["doc_id"] for r in only} == {None, 1, 2, 3, 4, 5}
+
+
+def thue_morse(n):
+    out = [0]
+    while len(out) < n:
+        out += [1 - x for x in out]
+    return "".join("ab"[x] for x in out[:n])
+
+
+def swapped(text):
+    return text.translate({97: 98, 98: 97})
+
+
+def test_nothing_jumps_at_a_size():
+    """A byte more makes no other document, at the size from which runs are taken apart and at any other."""
+    texts = [f"{'x' * 64} {'y' * n}" for n in (63, 64, 65, 66)] + ["ab" * n for n in (31, 32, 33, 34)]
+    got = repetition.batch_repeats(pa.array(texts), repetition.MIN_WORDS)
+    assert not got["fraction"].any() and not got["longest"].any()
+    assert got["words"] == pytest.approx([2, 2, 129 / 64 + 0, 130 / 64, 1, 1, 66 / 64, 68 / 64])
+    # Runs without spaces are judged all the same: six words' worth of repeats is a repeat.
+    runs = repetition.batch_repeats(pa.array(["x" * 400, "abc" * 4000, "数" * 13, "数" * 11]), repetition.MIN_WORDS)
+    assert list(runs["fraction"]) == [1, 1, 1, 0] and runs["words"] == pytest.approx([6.25, 187.5, 6.5, 5.5])
+
+
+def test_colliding_hashes_invent_no_repeat():
+    """Thue-Morse sequences and their complements have equal polynomial hashes modulo a power of two."""
+    one, other = " ".join(thue_morse(2048)), " ".join(swapped(thue_morse(2048)))
+    text = f"{one} q {other}"
+    found = repetition.batch_repeats(pa.array([text]), 6)
+    w = text.split()
+    longest = 0
+    for shift in range(1, len(w)):
+        run = 0
+        for x, y in zip(w, w[shift:]):
+            run = run + 1 if x == y else 0
+            longest = max(longest, run)
+    assert found["longest"][0] == longest
+    encoder = pieces.Encoder(pieces.default_model())
+    for n in (1024, 2048, 4096, 8192):
+        texts = [thue_morse(n), swapped(thue_morse(n))]
+        ids, offsets, lossless = encoder.encode(np.arange(2), pa.array(texts))
+        assert lossless.all() and pieces.decode_ids(pieces.default_model(), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))).to_pylist() == texts
+
+
+def test_long_text_without_spaces():
+    """Cut where all paths meet, a long run gets the very pieces that it gets whole."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("日本語の文章はこのように空白なしで書かれる") for _ in range(2000)), "".join(rng.choice("etaoinshrdlu") for _ in range(2000)), "é" * 300 + "a" * 300]
+    encoder = pieces.Encoder(pieces.default_model())
+    whole, cut = pieces.LONG, []
+    try:
+        for limit in (1 << 30, whole, 1):
+            pieces.LONG = limit
+            cut.append(encoder.encode(np.arange(3), pa.array(texts)))
+    finally:
+        pieces.LONG = whole
+    for ids, offsets, lossless in cut[1:]:
+        assert np.array_equal(ids, cut[0][0]) and np.array_equal(offsets, cut[0][1]) and lossless.all()
+    big = "".join(rng.choice("漢字仮名交文章本日語") for _ in range(300_000))
+    assert encoder.encode(np.arange(1), pa.array([big]))[2].all()
+
+
+def test_wrapped_templates_are_found(spark):
+    """Fillers between the lines of a template make windows sparse; whatever brute force verifies, the bands retrieve."""
+    rng = random.Random(17)
+    rows, key = [], 0
+    for name, text in licenses.TEMPLATES:
+        for gap in (6, 9, 14):
+            w = text.split()
+            parts = [" ".join(w[k : k + gap]) for k in range(0, len(w), gap)]
+            rows.append((key, f" {' '.join(f'zq{rng.randrange(99)}' for _ in range(1))} ".join(parts)))
+            key += 1
+    rows += [(None, rows[0][1]), (0, rows[0][1]), (0, rows[0][1]), (500, "nothing of the kind")]
+    df = spark.createDataFrame(rows, TEXT)
+    got = {(r["doc_id"], r["template"]) for r in licenses.license_scan(df).collect()}
+
+    def pairs(text):
+        w = "".join(c.lower() if c.isalnum() and c.isascii() else " " for c in text).split()
+        return set(zip(w, w[1:]))
+
+    want = {(k, t) for k, text in rows for t, (_, template) in enumerate(licenses.TEMPLATES) if len(pairs(text) & pairs(template)) >= licenses.CONTAINMENT * len(pairs(template))}
+    assert len(want & got) >= 0.97 * len(want) and got <= want
+    assert licenses.license_scan(df.where("doc_id is null")).count() > 0
+    twice = licenses.license_scan(df.where("doc_id = 0"))
+    assert twice.count() == 3 * twice.distinct().count()
