@@ -6,7 +6,7 @@ import itertools
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _counter = itertools.count()
@@ -23,10 +23,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame, tag: str) -> DataFrame:
-    """The same rows from a table written to the shared folder, so later steps neither compute them again nor depend on an executor."""
-    at = f"{shared_folder(df.sparkSession)}/plinth-{tag}-{next(_counter)}-{uuid.uuid4().hex[:12]}"
+    """The same rows from a table written to the shared folder, so later steps neither compute them again nor depend on an executor.
+
+    ``discard`` removes it; what is left (tables that a result still reads) goes when the application ends.
+    """
+    spark = df.sparkSession
+    at = f"{shared_folder(spark)}/plinth-{tag}-{next(_counter)}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
     df.write.parquet(at)
-    table = df.sparkSession.read.schema(df.schema).parquet(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    table = spark.read.schema(df.schema).parquet(at)
     table.written_to = at
     return table
 
@@ -39,6 +45,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_version(text: Column) -> Column:
+    """Tells rows with one id but different texts apart: a hash of 31 bits."""
+    return F.pmod(F.xxhash64(text), F.lit(1 << 31)).cast("int")
+
+
 def components(edges: DataFrame, tag: str = "components", max_rounds: int = 60) -> DataFrame:
     """(id, root): every id of ``edges`` (a, b: long) with the least id of its component.
 
