@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from plinth.llm import components, dartminhash, embedding_dedup, suffix_dedup
 from plinth.llm.hnsw import Graph
@@ -268,3 +269,54 @@ def test_beams_widen_until_the_audit_passes():
     poor = ShortSighted(good.vectors, good.links, 0)
     q, _, beam = embedding_dedup.found_pairs(poor, good.vectors, np.arange(700), 0.4, beam=2, target=0.97)
     assert beam == 32 and len(q) >= 0.97 * true
+
+
+def test_hot_bands_lose_no_link(spark):
+    """Bands of more members than one task may compare: stars, then blocks of what isn't joined yet."""
+    rng = random.Random(31)
+    base = prose(rng, 120)
+    rows = [(k, edited(rng, base, 0.03)) for k in range(40)] + [(100 + k, prose(rng, 60)) for k in range(10)]
+    tail = base.split()
+    rows += [(200 + k, " ".join([*tail[:70], *prose(rng, 50).split()])) for k in range(12)]
+    df = spark.createDataFrame(rows, DOC)
+    want = {tuple(r) for r in dartminhash.near_duplicates(df, bands=60, rows=2).collect()}
+    assert {tuple(r) for r in dartminhash.near_duplicates(df, bands=60, rows=2, longest=3, block=4).collect()} == want and len(want) >= 40
+
+
+def test_blocks_are_compared_whole(spark):
+    """Of all pairs between components in a hot band, none is left out, whatever the blocks."""
+    rng = np.random.default_rng(3)
+    signs = rng.integers(0, 3, (60, 8)).astype(np.uint32)
+    rows = [(k, signs[k].tobytes()) for k in range(60)]
+    table = spark.createDataFrame(rows, "whole long, sign binary")
+    members = table.select(F.lit(7).cast("long").alias("band"), "whole")
+    none = spark.createDataFrame([], "a long, b long")
+    true = [(a, b) for a in range(60) for b in range(a) if (signs[a] == signs[b]).mean() >= 0.7]
+    for block in (3, 100):
+        edges, _ = dartminhash._hot_edges(members, table, none, 0.7, block)
+        got = [(r["a"], r["b"]) for r in edges.collect()]
+        assert {(max(p), min(p)) for p in got} <= set(true)
+        assert groups(range(60), got) == groups(range(60), true)
+
+
+def test_rows_that_share_an_id(spark):
+    """Each row goes or stays by its own text, in near-dedup and in suffix dedup."""
+    rng = random.Random(41)
+    a, b, p = prose(rng, 80), prose(rng, 80), prose(rng, 60)
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b + " end"), (None, a)], DOC)
+    assert {tuple(r) for r in dartminhash.near_duplicates(df).collect()} == {(1, 1), (2, 1), (2, 2), (3, 2)}
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in dartminhash.drop_near_duplicates(df).collect()) == sorted([(0, a), (1, a), (2, b)])
+    lead = prose(rng, 20)
+    for rows in ([(1, p), (2, f"{lead} {p}"), (2, "short text")], [(1, p), (2, p), (2, prose(rng, 120))]):
+        kept = sorted((r["doc_id"], " ".join(r["text"].split())) for r in suffix_dedup.drop_repeated_passages(spark.createDataFrame(rows, DOC)).collect())
+        want = [(1, p), (2, lead), (2, "short text")] if rows[2][1] == "short text" else [(1, p), rows[2]]
+        assert kept == sorted(want)
+
+
+def test_hot_buckets_give_the_same_spans(spark):
+    """Anchors that too many contexts share are counted by digest, with the same repeats and first places."""
+    rows = [*passages(), (3, "another text of the same id"), (60, passages()[60][1])]
+    df = spark.createDataFrame(rows, DOC)
+    want = {tuple(r) for r in suffix_dedup.repeated_passages(df, min_words=12, gram=5).collect()}
+    for bucket in (1, 3):
+        assert {tuple(r) for r in suffix_dedup.repeated_passages(df, min_words=12, gram=5, bucket=bucket).collect()} == want
