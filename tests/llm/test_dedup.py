@@ -320,3 +320,48 @@ def test_hot_buckets_give_the_same_spans(spark):
     want = {tuple(r) for r in suffix_dedup.repeated_passages(df, min_words=12, gram=5).collect()}
     for bucket in (1, 3):
         assert {tuple(r) for r in suffix_dedup.repeated_passages(df, min_words=12, gram=5, bucket=bucket).collect()} == want
+
+
+class Blind(Graph):
+    """Never finds anything."""
+
+    def search(self, queries, beam):
+        return np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32)
+
+
+def test_a_blind_graph_fails_its_audit():
+    """Another shard's vectors with few true pairs, none of them in the sample: the probes tell."""
+    x = vectors(900).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    good = Graph.build(np.arange(400), x[:400])
+    queries = np.concatenate([x[400:], good.vectors[:10]])
+    sample = np.arange(16)
+    assert not (good.vectors @ queries[sample].T >= 0.95).any()
+    planted = embedding_dedup.probes(good, 0.95, 3)
+    assert np.einsum("nd,nd->n", good.vectors[planted[0]], planted[1]) == pytest.approx(0.95, abs=1e-4)
+    true = set(zip(*np.nonzero(queries @ good.vectors.T >= 0.95), strict=True))
+    blind = Blind(good.vectors, good.links, 0)
+    for graph, beam in ((good, None), (blind, 400)):
+        q, v, began = embedding_dedup.found_pairs(graph, queries, sample, 0.95, planted=planted)
+        assert set(zip(q, v, strict=True)) == true and len(true) >= 10
+        assert began == beam or beam is None and began < 400
+    # A vector's match with itself is no evidence.
+    own = np.arange(16)
+    assert embedding_dedup.found_pairs(blind, good.vectors[:16], sample, 0.99999, planted=None, own=own)[2] == embedding_dedup.BEAM
+
+
+def test_embeddings_across_shards(spark):
+    """Pairs across many small shards, each two of which meet once, and ids with several vectors."""
+    x = vectors(300, seed=9)
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    far = [float(v) for v in np.random.default_rng(1).normal(size=16)]
+    rows += [(250, rows[0][1]), (600, far), (601, far), (601, rows[299][1]), rows[1]]
+    y = np.array([r[1] for r in rows], np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(y @ y.T >= 0.95, 1))
+    ids = [r[0] for r in rows]
+    want = groups(set(ids), [(ids[i], ids[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for chunk in (1, 3):
+        got = {r["vec_id"]: r["keep_id"] for r in embedding_dedup.embedding_near_duplicates(df, shard_size=40, chunk=chunk).collect()}
+        assert got == want and want[250] == 0 and want[601] == 299
