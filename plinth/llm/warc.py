@@ -5,6 +5,9 @@ Records are grouped into independent frames, frames into bundles. A bundle ends
 number), so any reader of that format can open it and any plain decoder can read it through. The index maps each
 record's identifier to its frame, the frame's place in the bundle, and the record's place within the frame; reading one
 record decompresses one frame.
+
+A record's identifier (its WARC-Record-ID) is made of the page's id, url and content, so null and repeated ids can be
+told apart. Only rows that are equal in all three share one; whichever place it leads to holds the same record.
 """
 
 from __future__ import annotations
@@ -25,22 +28,31 @@ BUNDLE_BYTES = 4 << 20
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-_INDEX = "page_id long, frame int, frame_offset long, frame_size int, record_offset int, record_size int"
-_SCHEMA = f"bundle string, n_records int, data binary, entries array<struct<{_INDEX.replace(' long', ':bigint').replace(' int', ':int')}>>"
+_INDEX = "record_id string, page_id long, frame int, frame_offset long, frame_size int, record_offset int, record_size int"
+_SCHEMA = f"bundle string, n_records int, data binary, entries array<struct<{_INDEX.replace(' string', ':string').replace(' long', ':bigint').replace(' int', ':int')}>>"
 
 
-def record_id(page_id: int | None, url: str | None) -> str:
-    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{url or ""}')}"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """Identifier of the record of this page, address and block digest; null isn't the same as empty."""
+    name = "\x1f".join("-" if x is None else f"={x}" for x in (page_id, url, digest))
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}"
 
 
-def record(page_id: int | None, url: str | None, html: str | None, date: str = DATE) -> bytes:
-    """One WARC resource record; null html gives an empty block, a null url no target."""
+def identified(page_id: int | None, url: str | None, html: str | None, date: str = DATE) -> tuple[str, bytes]:
+    """(identifier, WARC resource record); null html gives an empty block, a null url no target."""
     block = (html or "").encode("utf-8", "surrogatepass")
-    head = ["WARC/1.1", "WARC-Type: resource", f"WARC-Record-ID: <{record_id(page_id, url)}>", f"WARC-Date: {date}"]
+    digest = hashlib.sha256(block).hexdigest()
+    own = record_id(page_id, url, digest)
+    head = ["WARC/1.1", "WARC-Type: resource", f"WARC-Record-ID: <{own}>", f"WARC-Date: {date}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {' '.join(url.split())}")
-    head += [f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type: text/html", f"Content-Length: {len(block)}"]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    head += [f"WARC-Block-Digest: sha256:{digest}", "Content-Type: text/html", f"Content-Length: {len(block)}"]
+    return own, "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def record(page_id: int | None, url: str | None, html: str | None, date: str = DATE) -> bytes:
+    """One WARC resource record."""
+    return identified(page_id, url, html, date)[1]
 
 
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -98,8 +110,8 @@ class _Bundle:
         self.waiting: list[tuple] = []
         self.size = self.filled = 0
 
-    def add(self, page_id: int | None, raw: bytes) -> None:
-        self.waiting.append((page_id, self.filled, len(raw)))
+    def add(self, own: str, page_id: int | None, raw: bytes) -> None:
+        self.waiting.append((own, page_id, self.filled, len(raw)))
         self.open.append(raw)
         self.filled += len(raw)
 
@@ -108,7 +120,7 @@ class _Bundle:
             return
         raw = b"".join(self.open)
         packed = self.pack(raw)
-        self.entries += [{"page_id": p, "frame": len(self.frames), "frame_offset": self.size, "frame_size": len(packed), "record_offset": at, "record_size": n} for p, at, n in self.waiting]
+        self.entries += [{"record_id": own, "page_id": p, "frame": len(self.frames), "frame_offset": self.size, "frame_size": len(packed), "record_offset": at, "record_size": n} for own, p, at, n in self.waiting]
         self.frames.append((len(packed), len(raw), self.checksum(raw)))
         self.parts.append(packed)
         self.size += len(packed)
@@ -120,12 +132,13 @@ class _Bundle:
 
 
 def _bundle(batches: Iterator[pa.RecordBatch], frame_bytes: int, bundle_bytes: int, level: int, date: str) -> Iterator[pa.RecordBatch]:
-    entry = pa.struct([("page_id", pa.int64()), ("frame", pa.int32()), ("frame_offset", pa.int64()), ("frame_size", pa.int32()), ("record_offset", pa.int32()), ("record_size", pa.int32())])
+    entry = pa.struct([("record_id", pa.string()), ("page_id", pa.int64()), ("frame", pa.int32()), ("frame_offset", pa.int64()), ("frame_size", pa.int32()), ("record_offset", pa.int32()), ("record_size", pa.int32())])
     schema = pa.schema([("bundle", pa.string()), ("n_records", pa.int32()), ("data", pa.binary()), ("entries", pa.list_(entry))])
     now = _Bundle(level)
     for batch in batches:
         for page_id, url, html in zip(*(batch.column(k).to_pylist() for k in ("page_id", "url", "html")), strict=True):
-            now.add(page_id, record(page_id, url, html, date))
+            own, raw = identified(page_id, url, html, date)
+            now.add(own, page_id, raw)
             if now.filled >= frame_bytes:
                 now.close_frame()
                 if now.size >= bundle_bytes:
@@ -140,8 +153,9 @@ def warc_bundles(pages: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_bytes:
     """(bundle, n_records, data, entries): bundles with their index; no shuffle, each partition fills its own bundles.
 
     A frame closes at ``frame_bytes`` of records, a bundle at ``bundle_bytes``; a longer record has a frame of its own
-    size. A bundle is named after its content, so a task that runs again makes the same bundles. Null html and urls give
-    records without block or target, a null id an entry without id; repeated rows are archived each. An empty table
+    size. Which records share a bundle goes by the table's partitions and their order; a bundle is named after its
+    content, so a task that runs again over the same partition makes the same bundles. Null html and urls give records
+    without block or target, a null id an entry without page_id; repeated rows are archived each. An empty table
     gives no bundle. Other columns are ignored.
     """
     return pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html")).mapInArrow(
@@ -150,10 +164,25 @@ def warc_bundles(pages: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_bytes:
 
 
 def record_index(bundles: DataFrame) -> DataFrame:
-    """One row per record: its bundle and its place there."""
+    """One row per record: its identifier, its bundle and its place there."""
     return bundles.select("bundle", F.explode("entries").alias("e")).select("bundle", "e.*")
 
 
+def find_records(bundles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(record_id, bundle, record): the records of the identifiers in ``wanted`` (record_id), each read by one frame."""
+    places = record_index(bundles).join(wanted.select("record_id").distinct(), "record_id", "left_semi")
+    asked = places.groupBy("bundle").agg(F.collect_list(F.struct("record_id", "frame", "record_offset", "record_size")).alias("asked"))
+    return bundles.select("bundle", "data").join(asked, "bundle").mapInArrow(_read, "record_id string, bundle string, record binary")
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(a["record_id"], name, read_record(data, a["frame"], a["record_offset"], a["record_size"])) for name, data, asked in zip(*(batch.column(k).to_pylist() for k in ("bundle", "data", "asked")), strict=True) for a in asked]
+        if rows:
+            own, name, raw = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(name, pa.string()), pa.array(raw, pa.binary())], names=["record_id", "bundle", "record"])
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, data in zip(batch.column("bundle").to_pylist(), batch.column("data").to_pylist(), strict=True):

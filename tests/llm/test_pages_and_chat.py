@@ -129,3 +129,37 @@ def test_every_layout_comes_back(spark):
     got = sorted((r["conv_id"], r["turn"], r["role"], r["content"]) for r in chat.canonical_turns(chat.raw_records(df)).collect())
     want = sorted([(c, t, r, x) for c, t, r, x in rows if c < 43] + [(43, 0, "assistant", "a"), (44, 0, "user", "x")])
     assert got == want
+
+
+def test_bundles_against_a_plain_grouping(spark):
+    """Frames, bundles and places as a few lines of Python over the same rows have them."""
+    rows = [(k % 17 if k % 5 else None, f"http://h/{k % 3}" if k % 7 else None, "z" * (k * 37 % 900) if k % 4 else None) for k in range(120)]
+    got = warc.warc_bundles(pages(spark, rows).coalesce(1), frame_bytes=2000, bundle_bytes=900).collect()
+    frames, now, size = [], [], 0
+    for row in rows:
+        raw = warc.record(*row)
+        now.append((row, size, raw))
+        size += len(raw)
+        if size >= 2000:
+            frames, now, size = [*frames, now], [], 0
+    frames = [*frames, now] if now else frames
+    want, bundle, offset, number = [], 0, 0, 0
+    for frame in frames:
+        packed = zstandard.ZstdCompressor(level=warc.LEVEL, write_checksum=True, write_content_size=True).compress(b"".join(raw for _, _, raw in frame))
+        want += [(bundle, row[0], number, offset, len(packed), at, len(raw)) for row, at, raw in frame]
+        offset, number = offset + len(packed), number + 1
+        if offset >= 900:
+            bundle, offset, number = bundle + 1, 0, 0
+    assert [(n, e["page_id"], e["frame"], e["frame_offset"], e["frame_size"], e["record_offset"], e["record_size"]) for n, r in enumerate(got) for e in r["entries"]] == want
+
+
+def test_records_are_found_by_identifier(spark):
+    rows = [(1, "http://a", "x"), (1, "http://a", "y"), (1, "http://b", "x"), (None, None, "x"), (None, "", "x"), (1, "http://a", "x"), (2, None, None)]
+    bundles = warc.warc_bundles(pages(spark, rows), frame_bytes=300)
+    ids = {warc.identified(*r)[0]: r for r in rows}
+    assert len(ids) == 6 and {r["record_id"] for r in warc.record_index(bundles).collect()} == set(ids)
+    found = warc.find_records(bundles, spark.createDataFrame([(i,) for i in ids], "record_id string")).collect()
+    assert len(found) == 7
+    for r in found:
+        headers, block = warc.parse_record(bytes(r["record"]))
+        assert headers["WARC-Record-ID"] == f"<{r['record_id']}>" and block.decode() == (ids[r["record_id"]][2] or "")
