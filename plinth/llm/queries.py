@@ -64,7 +64,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations, brought into five layouts and back into canonical turns."""
+    """The conversations, brought into ten layouts and back into canonical turns."""
     return canonical_turns(raw_records(_table(spark, sf_dir, "conversations")))
 
 

@@ -163,3 +163,45 @@ def test_records_are_found_by_identifier(spark):
     for r in found:
         headers, block = warc.parse_record(bytes(r["record"]))
         assert headers["WARC-Record-ID"] == f"<{r['record_id']}>" and block.decode() == (ids[r["record_id"]][2] or "")
+
+
+OVERLAPS = [
+    ({"prompt": "q", "prompt_id": "7", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}, "messages", [("user", "q"), ("assistant", "a")]),
+    ({"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, "share", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"system": "s", "conversations": [{"from": "system", "value": "own"}, {"from": "human", "value": "q"}]}, "share", [("system", "own"), ("user", "q")]),
+    ({"system": "s", "prompt": "q", "chosen": "a", "rejected": "b"}, "preference", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"prompt": "q", "chosen": [{"role": "assistant", "content": "a"}], "rejected": []}, "preference_turns", [("user", "q"), ("assistant", "a")]),
+    ({"chosen": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "prompt": "q"}, "preference_turns", [("user", "q"), ("assistant", "a")]),
+    ([{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "bare", [("user", "q"), ("assistant", "a")]),
+    ([{"from": "human", "value": "q"}], "bare_share", [("user", "q")]),
+    ({"system": "s", "question": "q", "answer": "a", "prompt": "p"}, "question", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"prompt": "q", "completion": "a", "chosen": "c"}, "prompt", [("user", "q"), ("assistant", "a")]),
+    ({"instruction": "do", "context": "this", "response": "a", "category": "x"}, "context", [("user", "do\n\nthis"), ("assistant", "a")]),
+    ({"conversation": [{"role": "user", "content": "q"}]}, "conversation", [("user", "q")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "look"}, {"type": "text", "text": "here"}, {"type": "image", "id": 3}, "plain"]}, {"role": "assistant", "content": [{"type": "text"}]}]}, "messages", [("user", 'look\n\nhere\n\n{"id":3,"type":"image"}\n\nplain')]),
+]
+
+
+def test_layouts_that_overlap(spark):
+    """Fields of another layout, or of none, cost no content."""
+    rows = [(k, json.dumps(r)) for k, (r, _, _) in enumerate(OVERLAPS)] + [(None, json.dumps(OVERLAPS[0][0]))] * 2
+    df = spark.createDataFrame(rows, "conv_id long, raw string").withColumn("turn", F.lit("mine"))
+    got = chat.canonical_turns(df).collect()
+    for k, (_, mapping, turns) in enumerate(OVERLAPS):
+        own = sorted((r for r in got if r["conv_id"] == k), key=lambda r: r["turn"])
+        assert {r["mapping"] for r in own} == {mapping} and [(r["role"], r["content"]) for r in own] == turns
+    assert sum(r["conv_id"] is None for r in got) == 4
+    prints = chat.fingerprints()
+    assert all(prints[r["fingerprint"]] == r["mapping"] for r in got)
+
+
+def test_layouts_are_counted(spark):
+    rows = [('{"messages":[{"role":"user","content":"x"}],"id":1}',), ('{"id":2.5,"messages":[{"content":"y","role":"user"}]}',), ('{"odd":[1,2]}',), ("{",), (None,)]
+    got = {(r["schema"], r["mapping"]): r["n"] for r in chat.layouts(spark.createDataFrame(rows, "raw string")).collect()}
+    assert got == {("OBJECT<id, messages: ARRAY<OBJECT<content, role>>>", "messages"): 2, ("OBJECT<odd: ARRAY<>>", "unmapped"): 1, (None, "invalid"): 2}
+
+
+def test_records_without_an_id(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "b"), (3, 0, "system", "only"), (9, 0, "system", "only")], "conv_id long, turn long, role string, text string")
+    got = sorted((r["conv_id"] or 0, r["turn"], r["role"], r["content"]) for r in chat.canonical_turns(chat.raw_records(df)).collect())
+    assert got == [(0, 0, "user", "a"), (0, 0, "user", "b"), (3, 0, "system", "only"), (9, 0, "system", "only")]
