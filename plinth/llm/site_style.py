@@ -14,8 +14,12 @@ Navigation, advertisements and footers come again and again in the same place wi
 articles differ and score near 1. A branch all of whose elements score below ``THRESHOLD`` is removed from each page.
 
 The trees are never built as objects: places are hashes, pages are mapped to (place, style) and (place, text) counts
-that Spark adds up, and importance moves up the tree one depth at a time. Places of fewer than ``MIN_PAGES`` pages say
-nothing and count as important, so the tables hold only what pages share.
+that Spark adds up, and importance moves up the tree one depth at a time: in one task where the places that a site shares
+are ``SITE_PLACES`` or fewer, however deep they lie, else in a join for each depth. Places of fewer than ``MIN_PAGES``
+pages say nothing and count as important, so the tables hold only what pages share.
+
+Of the branches to remove only the topmost places are kept. They go to the pages as a list, or, where a site has more than
+``SITE_NOISE`` of them, by a join of its pages' places, which gives each page those that it has.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from plinth.llm.components import cut, discard
 GAMMA = 0.9
 THRESHOLD = 0.8
 MIN_PAGES = 4
+SITE_PLACES = 100_000
+SITE_NOISE = 2_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,6 +66,13 @@ def parse(page: str) -> Node:
     """A lenient tree of elements; text becomes '#' children, what isn't shown is left out."""
     root = Node("", "")
     stack, at, text_at = [root], 0, 0
+    opened: dict[str, int] = {}
+
+    def close(k: int) -> None:
+        for node in stack[k:]:
+            opened[node.tag] -= 1
+        del stack[k:]
+
     while True:
         m = _TOKEN.search(page, at)
         _add_text(stack[-1], page[text_at : m.start() if m else len(page)])
@@ -72,9 +85,10 @@ def parse(page: str) -> Node:
             continue
         tag = m[3].lower()
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
+            # Whatever isn't open is passed over without a look at what is.
+            for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
             continue
         if tag in _RAW:
@@ -82,10 +96,10 @@ def parse(page: str) -> Node:
             at = text_at = end.end() if end else len(page)
             continue
         closes = _CLOSES.get(tag)
-        if closes:
+        if closes and any(opened.get(o) for o in closes):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in closes:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag not in _INLINE and stack[k].tag != "p":
                     break
@@ -101,8 +115,7 @@ def parse(page: str) -> Node:
         stack[-1].children.append(node)
         if tag not in _VOID and not m[4].endswith("/"):
             stack.append(node)
-            if len(stack) > 200:
-                del stack[-1]
+            opened[tag] = opened.get(tag, 0) + 1
 
 
 def _add_text(parent: Node, raw: str) -> None:
@@ -157,8 +170,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def style_tree(pages: DataFrame, gamma: float = GAMMA, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(site, place, importance, most): composite importance of the places that ``min_pages`` pages share, and the most in its branch. pages: (site, html)."""
+def style_tree(pages: DataFrame, gamma: float = GAMMA, min_pages: int = MIN_PAGES, site_places: int = SITE_PLACES) -> DataFrame:
+    """(site, place, above, parent, importance, most): composite importance of the places that ``min_pages`` pages share, and the most in its branch. pages: (site, html).
+
+    A table in the shared folder; above and parent are the style and the element that a place lies in, 0 for roots.
+    """
     counts = cut(pages.mapInArrow(_count, "site long, place long, item long, kind int, depth int, parent long, n long").groupBy("site", "place", "item", "kind", "depth", "parent").agg(F.sum("n").alias("n")).where(f"n >= {min_pages} or kind < 2"), "places")
     # A place's pages: those of its parent's style. Kind 2 rows are (place, style above it); each place has just one.
     shared = counts.where("kind = 2").select("site", "place", F.col("item").alias("above"), "parent", "depth", F.col("n").alias("m"))
@@ -170,17 +186,83 @@ def style_tree(pages: DataFrame, gamma: float = GAMMA, min_pages: int = MIN_PAGE
     shape = chosen.groupBy("place").agg(F.sum(-p * F.log(p) / log).alias("presentation"), F.count("*").alias("styles"), (F.lit(1.0) - F.sum(F.when(F.col("n") >= min_pages, p).otherwise(0.0))).alias("rare"))
     texts = shared.join(counts.where("kind = 1").select("place", "n"), "place").groupBy("place").agg((1 - F.sum(F.col("n") * F.log(F.greatest(F.least("n", "m") - 1, F.lit(1)).cast("double")) / log) / F.sum("n")).alias("content"))
     nodes = cut(shared.join(shape, "place", "left").join(texts, "place", "left"), "nodes")
+    sizes = cut(nodes.groupBy("site").agg(F.count("*").alias("n")), "sizes")
+    large = sizes.where(F.col("n") > site_places).select("site")
+    result = "site long, place long, above long, parent long, importance double, most double"
+    if large.head(1):
+        by_task = nodes.join(large, "site", "left_anti").groupBy("site").applyInArrow(lambda table: _importance(table, gamma), result)
+        levels = _by_depth(nodes.join(large, "site", "left_semi"), gamma)
+        out = by_task.unionByName(levels[0].select(*by_task.columns))
+        for other in levels[1:]:
+            out = out.unionByName(other.select(*by_task.columns))
+    else:
+        levels = []
+        out = nodes.groupBy("site").applyInArrow(lambda table: _importance(table, gamma), result)
+    tree = cut(out, "tree")
+    discard(counts, nodes, sizes, *levels)
+    return tree
+
+
+def _composite(gamma: float, presentation: np.ndarray, styles: np.ndarray, rare: np.ndarray, content: np.ndarray, inner: np.ndarray, inner_most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(importance, most) of places; NaN stands for what a place hasn't got: no children (styles) or no texts (content). inner: what its children add."""
+    leaf, mute = np.isnan(styles), np.isnan(content)
+    within = np.where(leaf, content, np.where(np.isnan(inner), rare, inner))
+    weight = gamma ** np.nan_to_num(styles)
+    own = np.clip((1 - weight) * np.nan_to_num(presentation) + weight * np.nan_to_num(within), 0.0, 1.0)
+    own = np.where(leaf & mute, 0.0, own)
+    own = np.where(~leaf & ~mute, np.fmax(own, content), own)
+    return own, np.maximum(np.maximum(own, np.nan_to_num(inner_most)), np.where(np.nan_to_num(rare) > 1e-9, 1.0, 0.0))
+
+
+def _importance(table: pa.Table, gamma: float) -> pa.Table:
+    """The importance of one site's places, from the deepest up; same as ``_by_depth``."""
+
+    def column(name: str) -> np.ndarray:
+        c = table.column(name).combine_chunks()
+        return c.cast(pa.float64()).to_numpy(zero_copy_only=False).astype(float) if name not in ("place", "above", "parent") else c.to_numpy()
+
+    place, above, parent = column("place"), column("above"), column("parent")
+    depth, m, presentation, styles, rare, content = (column(k) for k in ("depth", "m", "presentation", "styles", "rare", "content"))
+    n = len(place)
+    order = np.argsort(place, kind="stable")
+    slot = np.minimum(np.searchsorted(place[order], parent), n - 1)
+    up = np.where(place[order][slot] == parent, order[slot], -1)
+    importance, most, total, inner_most = np.zeros(n), np.zeros(n), np.full(n, np.nan), np.full(n, np.nan)
+    for level in range(int(depth.max()), -1, -1):
+        here = np.flatnonzero(depth == level)
+        inner = total[here] / m[here] + np.nan_to_num(rare[here])
+        importance[here], most[here] = _composite(gamma, presentation[here], styles[here], rare[here], content[here], inner, inner_most[here])
+        # A style's importance is the mean of its children's; each style weighs as many pages as it has.
+        mine = here[np.lexsort((above[here], parent[here]))]
+        if not len(mine) or level == 0:
+            continue
+        heads = np.flatnonzero(np.concatenate([[True], (parent[mine][1:] != parent[mine][:-1]) | (above[mine][1:] != above[mine][:-1])]))
+        size = np.diff(np.concatenate([heads, [len(mine)]]))
+        share = np.add.reduceat(importance[mine], heads) / size * m[mine[heads]]
+        highest = np.maximum.reduceat(most[mine], heads)
+        above_it = up[mine[heads]]
+        some = above_it >= 0
+        total[above_it[some]] = np.nan_to_num(total[above_it[some]])
+        np.add.at(total, above_it[some], share[some])
+        inner_most[above_it[some]] = np.nan_to_num(inner_most[above_it[some]])
+        np.maximum.at(inner_most, above_it[some], highest[some])
+    names = ["site", "place", "above", "parent"]
+    return pa.table({**{k: table.column(k) for k in names}, "importance": pa.array(importance), "most": pa.array(most)})
+
+
+def _by_depth(nodes: DataFrame, gamma: float) -> list[DataFrame]:
+    """Tables of (site, place, above, parent, m, importance, most), one for each depth, the deepest first; for sites of any size."""
     deepest = nodes.agg(F.max("depth")).first()[0]
     done: list[DataFrame] = []
     below: DataFrame | None = None
-    for depth in range(deepest if deepest is not None else -1, -1, -1):
+    for depth in range(deepest if deepest is not None else 0, -1, -1):
         level = nodes.where(F.col("depth") == depth)
         if below is None:
             level = level.withColumn("inner", F.lit(None).cast("double")).withColumn("inner_most", F.lit(None).cast("double"))
         else:
             style = below.groupBy("parent", "above").agg(F.avg("importance").alias("i"), F.max("most").alias("x"), F.first("m").alias("n"))
             inner = style.groupBy(F.col("parent").alias("place")).agg(F.sum(F.col("i") * F.col("n")).alias("sum"), F.max("x").alias("inner_most"))
-            level = level.join(inner, "place", "left").withColumn("inner", F.coalesce(F.col("sum") / F.col("m"), F.lit(0.0)) + F.coalesce("rare", F.lit(0.0))).drop("sum")
+            level = level.join(inner, "place", "left").withColumn("inner", F.col("sum") / F.col("m") + F.coalesce("rare", F.lit(0.0))).drop("sum")
         # Styles of too few pages count as important.
         level = level.withColumn("inner", F.when(F.col("styles").isNull(), F.col("content")).otherwise(F.coalesce("inner", F.col("rare"))))
         weight = F.pow(F.lit(gamma), F.coalesce("styles", F.lit(0)).cast("double"))
@@ -191,17 +273,7 @@ def style_tree(pages: DataFrame, gamma: float = GAMMA, min_pages: int = MIN_PAGE
         level = level.withColumn("most", F.greatest("importance", F.coalesce("inner_most", F.lit(0.0)), rare))
         below = cut(level.select("site", "place", "above", "parent", "m", "importance", "most"), "level")
         done.append(below)
-    discard(counts)
-    if not done:
-        out = nodes.select("site", "place", F.lit(1.0).alias("importance"), F.lit(1.0).alias("most"))
-        out.reads = [nodes]
-        return out
-    out = done[0]
-    for other in done[1:]:
-        out = out.unionByName(other)
-    out = out.select("site", "place", "importance", "most")
-    out.reads = [nodes, *done]
-    return out
+    return done
 
 
 def page_text(root: Node, noise: frozenset[int] | set[int]) -> tuple[str, int]:
@@ -236,26 +308,53 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _ in place_nodes(root, site):
                 pass
             text, removed = page_text(root, {x & 0xFFFFFFFFFFFFFFFF for x in noise or ()})
+            restored = 0
             if removed and not text:
                 # All of its content is in places that others share: a copy as a whole.
-                text, removed = page_text(root, frozenset())[0], 0
-            rows.append((page_id, host, text, removed))
+                text, removed, restored = page_text(root, frozenset())[0], 0, removed
+            rows.append((page_id, host, text, removed, restored))
         if rows:
-            page_id, host, text, removed = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(page_id, pa.int64()), pa.array(host, pa.string()), pa.array(text, pa.string()), pa.array(removed, pa.int32())], names=["page_id", "host", "text", "removed"])
+            page_id, host, text, removed, restored = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(page_id, pa.int64()), pa.array(host, pa.string()), pa.array(text, pa.string()), pa.array(removed, pa.int32()), pa.array(restored, pa.int32())], names=["page_id", "host", "text", "removed", "restored"])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(site, page, place) of every element of a page; page is the hash of its html."""
+    for batch in batches:
+        found = [(site, key, node.place) for site, key, page in zip(*(batch.column(k).to_pylist() for k in ("site", "page", "html")), strict=True) for node, _, _ in place_nodes(parse(page or ""), site)]
+        if found:
+            site, key, place = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(site, pa.int64()), pa.array(key, pa.int64()), pa.array(_signed(list(place)))], names=["site", "page", "place"])
 
 
-def site_text(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAMMA, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, host, text, removed): each page's text without the branches that its site repeats, and how many went.
+def site_text(
+    pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAMMA, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", site_places: int = SITE_PLACES, site_noise: int = SITE_NOISE
+) -> DataFrame:
+    """(page_id, host, text, removed, restored): each page's text without the branches that its site repeats, and how many went.
 
     The host is the lower-cased authority of the url; null or relative urls share the host ''. Null or empty html gives
-    an empty text. A page of which no text would be left, as all of it is in branches that other pages share, is a copy
-    as a whole and keeps everything; any other keeps what is its own, however little. Repeated rows count as pages of
-    their own; an empty table gives an empty result; other columns are ignored.
+    an empty text; pages may be nested to any depth. A page of which no text would be left, as all of it is in branches
+    that other pages share, is a copy as a whole and keeps everything: removed is 0 then and ``restored`` says how many
+    branches had gone. Any other page keeps what is its own, however little. Hosts of fewer than ``min_pages`` pages have
+    nothing removed. Repeated rows count as pages of their own; an empty table gives an empty result; other columns are
+    ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(pages[url_col].cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), host.alias("host"), F.xxhash64(host).alias("site"), pages[html_col].cast("string").alias("html"))
-    tree = style_tree(rows.select("site", "html"), gamma, min_pages)
-    noise = cut(tree.where(F.col("most") < threshold).groupBy("site").agg(F.collect_set("place").alias("noise")), "noise")
-    discard(*tree.reads)
-    return rows.join(noise, "site", "left").mapInArrow(_extract, "page_id long, host string, text string, removed int")
+    tree = style_tree(rows.select("site", "html"), gamma, min_pages, site_places)
+    low = tree.where(F.col("most") < threshold).select("site", "place", "parent")
+    top = cut(low.join(low.select("site", F.col("place").alias("parent")), ["site", "parent"], "left_anti").select("site", "place"), "top")
+    large = cut(top.groupBy("site").agg(F.count("*").alias("n")).where(F.col("n") > site_noise).select("site"), "large")
+    shape = "page_id long, host string, text string, removed int, restored int"
+    some = bool(large.head(1))
+    small = top.join(large, "site", "left_anti") if some else top
+    noise = cut(small.groupBy("site").agg(F.collect_set("place").alias("noise")), "noise")
+    discard(tree)
+    if not some:
+        discard(top, large)
+        return rows.join(noise, "site", "left").mapInArrow(_extract, shape)
+    calm = rows.join(large, "site", "left_anti").join(noise, "site", "left").mapInArrow(_extract, shape)
+    busy = rows.join(large, "site", "left_semi").withColumn("page", F.xxhash64(F.coalesce("html", F.lit(""))))
+    held = busy.select("site", "page", "html").dropDuplicates(["site", "page"]).mapInArrow(_places, "site long, page long, place long")
+    own = held.join(top, ["site", "place"], "left_semi").groupBy("site", "page").agg(F.collect_set("place").alias("noise"))
+    return calm.unionByName(busy.join(own, ["site", "page"], "left").mapInArrow(_extract, shape))

@@ -205,3 +205,84 @@ def test_records_without_an_id(spark):
     df = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "b"), (3, 0, "system", "only"), (9, 0, "system", "only")], "conv_id long, turn long, role string, text string")
     got = sorted((r["conv_id"] or 0, r["turn"], r["role"], r["content"]) for r in chat.canonical_turns(chat.raw_records(df)).collect())
     assert got == [(0, 0, "user", "a"), (0, 0, "user", "b"), (3, 0, "system", "only"), (9, 0, "system", "only")]
+
+
+def brute_importance(pages, gamma=site_style.GAMMA, least=site_style.MIN_PAGES):
+    """{(path of tags and positions with the styles chosen): (importance, most)}, from the trees themselves."""
+    chosen, texts, held, above = {}, {}, {}, {}
+    for page in pages:
+        stack = [(site_style.parse(page), ())]
+        while stack:
+            node, at = stack.pop()
+            held[at] = held.get(at, 0) + 1
+            for f in set(node.features):
+                texts.setdefault(at, {}).setdefault(f, []).append(1)
+            if node.children:
+                style = tuple(c.sign for c in node.children)
+                chosen.setdefault(at, {}).setdefault(style, []).append(1)
+                for k, child in enumerate(node.children):
+                    above[(*at, style, k)] = at
+                    stack.append((child, (*at, style, k)))
+    out = {}
+    for at in sorted((a for a in held if held[a] >= least), key=len, reverse=True):
+        m, log = held[at], math.log(held[at])
+        styles = {s: len(n) for s, n in chosen.get(at, {}).items()}
+        found = [len(n) for n in texts.get(at, {}).values()]
+        content = 1 - sum(n * math.log(max(min(n, m) - 1, 1)) / log for n in found) / sum(found) if found else None
+        own, most = 0.0, 0.0
+        if styles:
+            presentation = -sum(n / m * math.log(n / m) / log for n in styles.values())
+            inner = 0.0
+            for s, n in styles.items():
+                children = [out[(*at, s, k)] for k in range(len(s)) if (*at, s, k) in out]
+                inner += n / m * (sum(i for i, _ in children) / len(children) if n >= least else 1.0)
+                most = max([most, *(x for _, x in children), *([1.0] if n < least else [])])
+            weight = gamma ** len(styles)
+            own = min(1.0, max(0.0, (1 - weight) * presentation + weight * inner))
+            own = max(own, content) if content is not None else own
+        elif content is not None:
+            own = min(1.0, max(0.0, content))
+        out[at] = own, max(most, own)
+    return out
+
+
+def varied(n):
+    html = []
+    for k in range(n):
+        ads = "".join(f"<p class=ad>Buy number {k % 3} now.</p>" for _ in range(k % 2))
+        html.append(f"<body><nav><a href='/{k % 2}'>Home</a><b>x</b></nav>{ads}<div><article><h1>T{k}</h1><p>Story {k}. More {k}.</p></article>{'<ul><li>a<li>b</ul>' if k % 3 else '<i>only here</i>'}</div><footer>One.</footer></body>")
+    return html
+
+
+def test_importance_against_brute_force(spark):
+    """Every shared place of a site of varied pages, in one task and depth by depth."""
+    html = varied(20)
+    want = sorted((round(i, 6), round(x, 6)) for i, x in brute_importance(html).values())
+    df = spark.createDataFrame([(1, h) for h in html], "site long, html string")
+    for limit in (site_style.SITE_PLACES, 3):
+        got = sorted((round(r["importance"], 6), round(r["most"], 6)) for r in site_style.style_tree(df, site_places=limit).collect())
+        assert got == want and len(got) > 15
+
+
+def test_sites_with_much_noise(spark):
+    """Branches to remove as a list or by a join of places: the same texts."""
+    rows = [(k, "https://v.org/", h) for k, h in enumerate(varied(20))] + [(50, "https://v.org/", None), (3, "https://v.org/", varied(20)[3]), (60, None, "<p>x")]
+    want = sorted(tuple(r) for r in site_style.site_text(pages(spark, rows)).collect())
+    assert sorted(tuple(r) for r in site_style.site_text(pages(spark, rows), site_places=3, site_noise=0).collect()) == want
+    assert any(r[3] for r in want) and len(want) == len(rows)
+
+
+def test_deep_pages(spark):
+    """No depth is too great, for the tree's shape and for the number of jobs; what a page lost and got back is told."""
+    def page(k, depth):
+        return "<body>" + "<div>" * depth + f"<p>Story {k} of {k * 3}.</p><p>Same on all of them.</p>" + "</div>" * depth + "<footer>Foot. Note.</footer></body>"
+
+    for depth in (199, 201, 400):
+        root = site_style.parse(page(1, depth))
+        assert max(d for _, _, d in site_style.place_nodes(root, 1)) == depth + 3
+    rows = [(k, f"https://d{d}.org/{k}", page(k, d)) for d in (10, 250) for k in range(1000 * d, 1000 * d + 6)]
+    got = {r["page_id"]: r for r in site_style.site_text(pages(spark, rows)).collect()}
+    for k, _, _ in rows:
+        assert got[k]["text"] == f"Story {k} of {k * 3}." and got[k]["restored"] == 0 and got[k]["removed"] >= 2
+    copies = [(k, "https://c.org/", page(1, 2)) for k in range(8)]
+    assert {(r["removed"], r["restored"] > 0) for r in site_style.site_text(pages(spark, copies)).collect()} == {(0, True)}
