@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plinth.llm.components import cut
+from plinth.llm.components import cut, discard, text_version
 
 BLOCK_TOKENS = 8192
 EXPONENT = 0.8
@@ -43,25 +43,34 @@ def mix_schedule(docs: DataFrame, weights: dict[str, float] | None = None, expon
     are white-space separated words. ``weights`` gives the target share per source (sources that it leaves out get no
     slots but are played at the end); by default a source weighs its tokens to the power ``exponent``. A null source
     counts as '', null and empty texts have 0 tokens, and rows that repeat an id are played each. An empty table gives
-    an empty schedule. Other columns are ignored.
+    an empty schedule. Without any weight (an empty dictionary, or one of absent sources) there are no slots and all is
+    played at the end, once. Other columns are ignored.
     """
+    return _schedule(docs, weights, exponent, block_tokens, seed, id_col, text_col, source_col)[0].drop("version")
+
+
+def _schedule(docs: DataFrame, weights: dict[str, float] | None, exponent: float, block_tokens: int, seed: str, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, list[DataFrame]]:
+    """(``mix_schedule`` with each row's version, tables that it reads)."""
+    if weights and min(weights.values()) < 0:
+        raise ValueError("weights must not be negative")
     spark = docs.sparkSession
     rows = docs.select(
         docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("source"),
         F.regexp_count(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit("[^ \t\n\r]+")).cast("long").alias("n_tokens"),
+        text_version(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("version"),
     ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = cut(rows, "mix")
     placed = _running(rows, ["source"], F.substring("key", 1, 3), F.col("n_tokens"), [F.col("key"), F.col("doc_id"), F.col("n_tokens")], "offset")
-    placed = placed.withColumn("block", F.floor(F.col("offset") / F.lit(block_tokens)).cast("long")).select("doc_id", "source", "n_tokens", "offset", "block")
+    placed = placed.withColumn("block", F.floor(F.col("offset") / F.lit(block_tokens)).cast("long")).select("doc_id", "source", "version", "n_tokens", "offset", "block")
     totals = rows.groupBy("source").agg(F.greatest(F.sum("n_tokens"), F.lit(1)).alias("tokens"))
     if weights is None:
         weighed = totals.withColumn("weight", F.pow(F.col("tokens").cast("double"), F.lit(float(exponent))))
     else:
-        given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "source string, weight double")
+        given = spark.createDataFrame([(k or "", float(v)) for k, v in weights.items()], "source string, weight double")
         weighed = totals.join(given, "source", "left").fillna(0.0, ["weight"])
     order = W.partitionBy(F.lit(0)).orderBy("source")  # one row per source
     whole = F.sum("weight").over(W.partitionBy(F.lit(0)))
-    shares = weighed.withColumn("share", F.col("weight") / whole).withColumn("blocks", F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long"))
+    shares = weighed.withColumn("share", F.when(whole > 0, F.col("weight") / whole).otherwise(0.0)).withColumn("blocks", F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long"))
     shares = shares.withColumn("high", F.round(F.sum("share").over(order) * F.lit(_ONE)).cast("long")).withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0)))
     shares = cut(shares, "shares")
     length = shares.where("share > 0").agg(F.max(F.ceil(F.col("tokens") / (F.lit(float(block_tokens)) * F.col("share"))))).first()[0] or 0
@@ -72,15 +81,27 @@ def mix_schedule(docs: DataFrame, weights: dict[str, float] | None = None, expon
     ranked = _running(owned, ["source"], F.floor(F.col("slot") / _CHUNK), F.lit(1), [F.col("slot")], "rank")
     played = ranked.select("slot", "source", (F.col("rank") % F.col("blocks")).alias("block"), F.floor(F.col("rank") / F.col("blocks")).cast("long").alias("epoch"))
     missed = placed.select("source", "block").distinct().join(played.select("source", "block").distinct(), ["source", "block"], "left_anti")
-    tail = missed.select((F.row_number().over(W.partitionBy(F.lit(0)).orderBy("block", "source")) - 1 + F.lit(int(length))).cast("long").alias("slot"), "source", "block", F.lit(0).cast("long").alias("epoch"))
-    return played.unionByName(tail).join(placed, ["source", "block"]).select("slot", "source", "epoch", "block", "offset", "doc_id", "n_tokens")
+    # Blocks without a slot follow one another, by block and source; their places are counted in two levels too.
+    late = missed.withColumn("all", F.lit("")).withColumn("one", F.lit(1))
+    tail = _running(late, ["all"], F.floor(F.col("block") / _CHUNK), F.col("one"), [F.col("block"), F.col("source")], "place")
+    tail = tail.select((F.col("place") + F.lit(int(length))).cast("long").alias("slot"), "source", "block", F.lit(0).cast("long").alias("epoch"))
+    plan = played.unionByName(tail).join(placed, ["source", "block"]).select("slot", "source", "epoch", "block", "offset", "doc_id", "version", "n_tokens")
+    return plan, [rows, shares]
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **how: object) -> DataFrame:
-    """The documents in the mix, each as often as ``mix_schedule`` plays it, with all their columns."""
-    times = mix_schedule(docs, id_col=id_col, **how).groupBy(F.col("doc_id").alias("__mixed")).agg((F.max("epoch") + 1).cast("int").alias("__times"))
-    both = docs.join(times, docs[id_col].cast("long").eqNullSafe(times["__mixed"]))
-    return both.withColumn("__play", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[both[c] for c in docs.columns])
+def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = EXPONENT, block_tokens: int = BLOCK_TOKENS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents in the mix, in the order of ``mix_schedule`` and as often as it plays them, with all their columns.
+
+    A row is known by its id, source and text, so a repeated id is played as often as its own source is. Rows that are
+    equal in all three are played the same number of times each, all of them where the first of them has its slot. Rows
+    are sorted by slot across partitions; what is written of them keeps that order by file.
+    """
+    plan, reads = _schedule(docs, weights, exponent, block_tokens, seed, id_col, text_col, source_col)
+    plays = cut(plan.groupBy(F.col("doc_id").alias("__mixed"), F.col("source").alias("__source"), F.col("version").alias("__version"), "epoch").agg(F.min(F.struct("slot", "offset")).alias("__at")).drop("epoch"), "plays")
+    discard(*reads)
+    own = docs[id_col].cast("long").eqNullSafe(plays["__mixed"]) & (F.coalesce(docs[source_col].cast("string"), F.lit("")) == plays["__source"])
+    both = docs.join(plays, own & (text_version(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == plays["__version"]))
+    return both.orderBy(plays["__at.slot"], plays["__at.offset"]).select(*[docs[c] for c in docs.columns])
 
 
 ORACLE_SQL = f"""

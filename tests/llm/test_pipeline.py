@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -53,3 +55,50 @@ def test_run_on_an_empty_table(spark, tmp_path):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+
+
+def weighted(text):
+    w = "".join(c.lower() if c.isalnum() else " " for c in text or "").split()
+    return collections.Counter(tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))) if w else collections.Counter()
+
+
+def test_run_against_brute_force(spark, tmp_path):
+    """Repeated ids, clashing columns, nulls and a very long text through all stages, held against plain Python."""
+    from plinth.llm import mixing, pieces
+
+    rows, _ = corpus()
+    rng = random.Random(12)
+    long = " ".join(f"z{rng.randrange(10**6)}" for _ in range(60_000))
+    rows += [(200, long, "en", "s1", len(long)), (5, "an own text of few words", "en", "s0", 24), (5, rows[5][1], "en", "s2", rows[5][4]), (None, rows[3][1], "en", "s0", 7), (7, rows[8][1] + " more", "en", "s1", 9)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("pieces", F.lit("mine")).withColumn("slot", F.lit(1))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Quality: only the advertisement repeats itself. Near copies: the least (id, then any) row of each group stays.
+    left = [r for r in rows if r[0] != 102]
+    sets, kept = {}, []
+    for r in sorted(left, key=lambda r: (r[0] is None, r[0] or 0, -len(r[1] or ""))):
+        own = weighted(r[1])
+        alike = r[0] is not None and own and any(sum((own & s).values()) >= 0.5 * sum((own | s).values()) for s in sets.values())
+        if not alike or any(k[0] == r[0] and k[1] == r[1] for k in kept):
+            kept.append(r)
+        if r[0] is not None and own:
+            sets[len(sets)] = own
+    # Passages of 50 words or more stay at their first place.
+    seen, texts = collections.defaultdict(set), []
+    for r in kept:
+        w = (r[1] or "").split() if r[0] is not None else []
+        for k in range(len(w) - 49):
+            seen[tuple(w[k : k + 50])].add((r[0], r[1], k))
+    gone = collections.defaultdict(set)
+    for places in seen.values():
+        for i, t, k in sorted(places)[1:]:
+            gone[i, t].update(range(k, k + 50))
+    for r in kept:
+        w = (r[1] or "").split()
+        texts.append((r[0], " ".join(x for k, x in enumerate(w) if k not in gone[r[0], r[1]]), r[3]))
+    want = {(i, t) for i, t, _ in texts}
+    decoded = pieces.decode_pieces(spark.createDataFrame([(r["doc_id"], r["pieces"]) for r in got], "doc_id long, pieces array<int>")).collect()
+    assert {(r["doc_id"], " ".join((r["text"] or "").split())) for r in decoded} == want and all(r["lossless"] for r in got)
+    # Each is played as often as the schedule of what is left says.
+    plan = mixing.mix_schedule(spark.createDataFrame(texts, "doc_id long, text string, source string")).collect()
+    assert collections.Counter(r["doc_id"] for r in got) == collections.Counter(r["doc_id"] for r in plan)

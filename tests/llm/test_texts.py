@@ -277,3 +277,30 @@ def test_wrapped_templates_are_found(spark):
     assert licenses.license_scan(df.where("doc_id is null")).count() > 0
     twice = licenses.license_scan(df.where("doc_id = 0"))
     assert twice.count() == 3 * twice.distinct().count()
+
+
+def test_mix_without_weights(spark):
+    rows = [(k, f"w{k} " * 30, "ab"[k % 2]) for k in range(20)]
+    for weights in ({}, {"elsewhere": 1.0}, {"a": 0.0}):
+        df, got = mixed(spark, rows, weights=weights, block_tokens=100)
+        assert sorted(r["doc_id"] for r in got) == list(range(20)) and {r["epoch"] for r in got} == {0}
+        assert mixing.mixed_documents(df, weights=weights, block_tokens=100).count() == 20
+    slots = {r["slot"]: (r["block"], r["source"]) for r in got}
+    assert sorted(slots) == list(range(len(slots))) and [slots[s] for s in sorted(slots)] == sorted(slots.values())
+    with pytest.raises(ValueError, match="negative"):
+        mixing.mix_schedule(df, weights={"a": -1.0})
+
+
+def test_mixed_documents_keep_the_schedule(spark):
+    """Each row is played as its own source is, in the order of the slots; ids that repeat across sources aren't mixed up."""
+    rows = [(k, f"a{k} " * 40, "big") for k in range(60)] + [(k, f"b{k} " * 40, "small") for k in range(10)] + [(3, "a3 " * 40, "big"), (4, "other text " * 20, "big"), (None, "n " * 40, "small")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("epoch", F.lit("mine"))
+    how = {"weights": {"big": 0.5, "small": 0.5}, "block_tokens": 200}
+    plan = sorted(mixing.mix_schedule(df, **how).collect(), key=lambda r: (r["slot"], r["offset"]))
+    out = mixing.mixed_documents(df, **how)
+    got = [(r["doc_id"], r["source"]) for r in out.collect()]
+    assert collections.Counter(got) == collections.Counter((r["doc_id"], r["source"]) for r in plan) and out.columns == df.columns
+    lone = {p for p in got if p != (3, "big") and p != (4, "big")}
+    assert [p for p in got if p in lone] == [(r["doc_id"], r["source"]) for r in plan if (r["doc_id"], r["source"]) in lone]
+    times = collections.Counter(s for _, s in got)
+    assert times["small"] / 11 > 4 and times["big"] == 62
