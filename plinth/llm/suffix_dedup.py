@@ -87,6 +87,7 @@ def _spaced(words: Words, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The text around the wanted anchors; their positions come as -1 - position where the bucket is hot."""
     for batch in slices(batches, "text"):
         words = tokenise(batch.column("text"), split_over=LONG_WORD, characters=True)
         anchor, value, low, high = _windows(words, min_words, gram)
@@ -94,9 +95,12 @@ def _contexts(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> I
             continue
         wanted = batch.column("places")
         counts = np.diff(np.asarray(wanted.offsets))
-        places = np.repeat(words.first[:-1], counts) + np.asarray(wanted.flatten())
+        marked = np.asarray(wanted.flatten())
+        hot = marked < 0
+        places = np.repeat(words.first[:-1], counts) + np.where(hot, -1 - marked, marked)
         some = np.isin(anchor, places)
         anchor, value, low, high = anchor[some], value[some], low[some], high[some]
+        hot = np.isin(anchor, places[hot])
         row, first = words.row[anchor], words.first[words.row[anchor]]
         if ((words.start[1:] == words.end[:-1]) & (words.row[1:] == words.row[:-1])).any():
             text, size = _spaced(words, low, high + min_words)
@@ -107,8 +111,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> I
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         context = pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(value.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array(_packed(np.asarray(batch.column("version"))[row], low - first)), pa.array((anchor - low).astype(np.int32)), context],
-            names=["gram", "doc_id", "place", "lead", "context"],
+            [pa.array(value.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array(_packed(np.asarray(batch.column("version"))[row], low - first)), pa.array((anchor - low).astype(np.int32)), pa.array(hot), context],
+            names=["gram", "doc_id", "place", "lead", "hot", "context"],
         )
 
 
@@ -241,13 +245,17 @@ def _digests(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(member)), pa.array(np.asarray(batch.column("place"))[member] + window), pa.array(digest, pa.binary())], names=["doc_id", "place", "digest"])
 
 
-def _counted(contexts: DataFrame, min_words: int) -> DataFrame:
-    """The repeats of hot buckets, window by window: what ``_repeats`` gives, before spans are merged."""
+def _counted(contexts: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """The repeats of hot buckets, window by window: what ``_repeats`` gives, before spans are merged; and the table of repeated digests, to be discarded.
+
+    The digests are written, so Spark knows their size and broadcasts them only if that is small.
+    """
     windows = contexts.select("doc_id", "place", "context").mapInArrow(partial(_digests, min_words=min_words), "doc_id long, place long, digest binary")
     one = windows.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1").drop("n")
+    one = cut(one, "digests")
     start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
-    return windows.join(one, "digest").select("doc_id", F.shiftright("place", 32).cast("int").alias("version"), start.alias("start"), (start + min_words).alias("end"), kept.alias("kept"), F.col("first.doc_id").alias("first_doc_id"))
+    return windows.join(one, "digest").select("doc_id", F.shiftright("place", 32).cast("int").alias("version"), start.alias("start"), (start + min_words).alias("end"), kept.alias("kept"), F.col("first.doc_id").alias("first_doc_id")), one
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
@@ -264,19 +272,22 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("version", text_version(F.col("text")))
     anchors = cut(texts.mapInArrow(partial(_anchors, min_words=min_words, gram=gram), "gram long, doc_id long, place long"), "anchors")
     often = cut(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "often")
-    hot = often.where(F.col("n") > bucket).select("gram")
-    wanted = anchors.join(often, "gram", "left_semi").select("doc_id", F.shiftright("place", 32).cast("int").alias("version"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos"))
+    hot = F.col("n") > bucket
+    pos = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    wanted = anchors.join(often, "gram").select("doc_id", F.shiftright("place", 32).cast("int").alias("version"), F.when(hot, -1 - pos).otherwise(pos).alias("pos"))
     places = wanted.groupBy("doc_id", "version").agg(F.collect_list("pos").alias("places"))
-    contexts = texts.join(places, ["doc_id", "version"]).mapInArrow(partial(_contexts, min_words=min_words, gram=gram), "gram long, doc_id long, place long, lead int, context string")
-    some = bool(hot.head(1))
+    contexts = texts.join(places, ["doc_id", "version"]).mapInArrow(partial(_contexts, min_words=min_words, gram=gram), "gram long, doc_id long, place long, lead int, hot boolean, context string")
+    some = bool(often.where(hot).head(1))
     working = [anchors, often]
     if some:
         contexts = cut(contexts, "contexts")
         working.append(contexts)
-    calm = contexts.join(hot, "gram", "left_anti") if some else contexts
+    calm = contexts.where("not hot").drop("hot")
     spans = calm.repartition("gram").sortWithinPartitions("gram", "doc_id", "place").mapInArrow(partial(_repeats, min_words=min_words), "doc_id long, version int, start int, end int, kept boolean, first_doc_id long")
     if some:
-        spans = spans.unionByName(_counted(contexts.join(hot, "gram", "left_semi"), min_words))
+        counted, digests = _counted(contexts.where("hot"), min_words)
+        working.append(digests)
+        spans = spans.unionByName(counted)
     order = W.partitionBy("doc_id", "version", "kept").orderBy("start", "end")
     island = spans.withColumn("fresh", (F.col("start") > F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))).cast("int")).withColumn("island", F.sum(F.coalesce("fresh", F.lit(0))).over(order.rowsBetween(W.unboundedPreceding, 0)))
     merged = island.groupBy("doc_id", "version", "kept", "island").agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"), F.min("first_doc_id").alias("first_doc_id"))
