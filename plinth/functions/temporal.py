@@ -43,16 +43,18 @@ def freshness(c: Column, now: Column, hours: float = 30) -> Column:
 def cache_valid(status: Column, updated: Column, now: Column, days: float, policy: str = "any") -> Column:
     """Whether a cached row may be used again; the future counts as fresh.
 
-    any: by age alone. matched: status matched and whole days up to the limit. certificate: matched always, errors
-    never, others by whole days. seconds: by age in seconds, errors never.
+    any: by age alone. matched: status matched and fewer whole days than the limit. certificate: matched always, errors
+    never, others by whole days. seconds: by age in seconds, errors never. What has reached the limit has expired; a
+    limit of 0 or less leaves matched certificates alone.
     """
     age = age_hours(updated, now)
     whole = F.floor(age / 24)
+    some = F.lit(days > 0)
     rules = {
-        "any": age <= days * 24,
-        "matched": (status == "matched") & (whole <= days),
-        "certificate": F.when(status == "matched", True).when(status == "error", False).otherwise(whole <= days),
-        "seconds": (status != "error") & (age * 3600 <= days * 86400),
+        "any": some & (age < days * 24),
+        "matched": some & (status == "matched") & (whole < days),
+        "certificate": F.when(status == "matched", True).when(status == "error", False).otherwise(some & (whole < days)),
+        "seconds": some & (status != "error") & (age * 3600 < days * 86400),
     }
     return F.coalesce(rules[policy], F.lit(False))
 

@@ -101,18 +101,22 @@ def address_line(saon: str, paon: str, street: str, locality: str, town: str, co
 
 
 def property_record_id(address: Column | str, code: Column | str, given: Column | None = None) -> Column:
-    """property:{ADDRESS}|{POSTCODE or NOPOSTCODE}; a blank postcode is looked for at the address' end. Blank address: ''."""
+    """property:{ADDRESS}|{POSTCODE or NOPOSTCODE}; a blank postcode is looked for at the address' end. The address stays whole, postcode and all. Blank address: ''."""
     line, own = canonical(address), postcode(code)
     tail = F.regexp_replace(F.regexp_extract(line, POSTCODE + "$", 1), " ", "")
     final = F.when(own != "", own).otherwise(tail)
-    bare = F.when(final == "", line).otherwise(F.trim(F.regexp_replace(line, F.concat(F.regexp_replace(final, "(.{3})$", r" ?$1"), F.lit("$")), F.lit(""))))
     blank = F.when(own == "", text(given)).otherwise("") if given is not None else F.lit("")
-    return F.when(line == "", blank).otherwise(F.concat(F.lit("property:"), bare, F.lit("|"), F.when(final == "", "NOPOSTCODE").otherwise(final)))
+    return F.when(line == "", blank).otherwise(F.concat(F.lit("property:"), line, F.lit("|"), F.when(final == "", "NOPOSTCODE").otherwise(final)))
 
 
 def transaction_id(prefix: str, *parts: Column | str) -> Column:
-    """prefix + the first 20 hex digits of SHA-256 over the upper-cased parts; blank parts keep their slot."""
-    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *[F.upper(F.trim(text(p))) for p in parts]), 256), 1, 20))
+    """prefix + the first 20 hex digits of SHA-256 over the upper-cased parts, white space collapsed; blank parts keep their slot."""
+    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *[F.upper(clean(p)) for p in parts]), 256), 1, 20))
+
+
+def sale_id(address: Column | str, code: Column | str, price: Column | str, day: Column | str, kind: Column | str, category: Column | str) -> Column:
+    """The id of a registered sale; spaces within the postcode don't count."""
+    return transaction_id("lr-", address, F.replace(clean(code), F.lit(" "), F.lit("")), price, day, kind, category)
 
 
 def slug(c: Column | str) -> Column:
@@ -203,15 +207,14 @@ def present(c: Column | str) -> Column:
 
 
 def floor_area(*keys: Column | str) -> Column:
-    """The first of the areas, if it lies within 25 and 4000 square metres."""
-    value = F.coalesce(*[lenient_number(k) for k in keys])
-    return F.when(value.between(25, 4000), value)
+    """The first of the areas that lies within 25 and 4000 square metres."""
+    return F.coalesce(*[F.when(lenient_number(k).between(25, 4000), lenient_number(k)) for k in keys])
 
 
 def any_floor_area(flat: Column) -> Column:
     """As ``floor_area``, from a map of flattened keys: those that name floor and area, but no room."""
     hits = F.map_filter(flat, lambda k, v: F.lower(k).contains("floor") & F.lower(k).contains("area") & ~F.lower(k).contains("room"))
-    return floor_area(F.element_at(F.map_values(hits), 1))
+    return F.get(F.array_compact(F.transform(F.map_values(hits), lambda v: floor_area(v))), 0)
 
 
 def house_ranges(c: Column | str, scope: Column | str = "whole") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.temporal import freshness
+from plinth.functions.temporal import cache_valid, freshness
 from plinth.functions.text import finite_positive
 
 
@@ -43,10 +43,20 @@ def freshness_histogram(df: DataFrame, observed: str, now: Column, hours: float
     return df.groupBy(freshness(F.col(observed), now, hours).alias("state")).agg(F.count("*").alias("n"))
 
 
-def terminal_accounting(rows: DataFrame, cache: DataFrame, key: str, status: str, final: tuple[str, ...] = ("matched", "missing", "no_match")) -> DataFrame:
-    """One row: requested, resolved, pending, errors of the rows' keys in a cache (one row per key)."""
-    both = rows.select(key).join(cache.select(key, F.col(status).alias("__status")), key, "left")
-    return both.agg(F.count("*").alias("requested"), F.count_if(F.col("__status").isin(*final)).alias("resolved"), F.count_if(~F.coalesce(F.col("__status").isin(*final), F.lit(False))).alias("pending"), F.count_if(F.col("__status") == "error").alias("errors"))
+def terminal_accounting(rows: DataFrame, cache: DataFrame, key: str, status: str, updated: str, now: Column, days: float) -> DataFrame:
+    """One row: requested, resolved, pending, errors, matched, no_match of the rows' keys in a cache (one row per key).
+
+    Resolved are keys with evidence that is still valid (``cache_valid``, certificate): matched, and no_match of fewer
+    than ``days`` whole days. Everything else is pending, a stale no_match and an error included.
+    """
+    both = rows.select(key).join(cache.select(key, F.col(status).alias("__status"), F.col(updated).alias("__updated")), key, "left")
+    valid = cache_valid(F.col("__status"), F.col("__updated"), now, days, "certificate")
+    counted = {s: valid & F.coalesce(F.col("__status") == s, F.lit(False)) for s in ("matched", "no_match")}
+    resolved = counted["matched"] | counted["no_match"]
+    return both.agg(
+        F.count("*").alias("requested"), F.count_if(resolved).alias("resolved"), F.count_if(~resolved).alias("pending"), F.count_if(F.col("__status") == "error").alias("errors"),
+        *[F.count_if(c).alias(s) for s, c in counted.items()],
+    )
 
 
 def grouped_list(df: DataFrame, key: str, entry: list[str], order: list[str]) -> DataFrame:

@@ -48,18 +48,25 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, block: str, orde
     return best.withColumn("distance", F.round("distance").cast("long")).drop("__block", "__order", "__lat", "__lon")
 
 
-def nearest_listed(points: DataFrame, sites: DataFrame, point_id: str, name: str, rating: str, metres: float = 4000.0, most: int = 5, ratings: tuple[str, ...] = ("Outstanding", "Good")) -> DataFrame:
-    """(point_id, nearest, best): the ``most`` nearest sites as structs by whole metres, and the best rated one of all within reach: the nearest of the first rating that occurs, else the nearest rated at all."""
-    pairs = within(points, sites, metres, [name, rating]).withColumn("metres", F.round("distance").cast("long"))
-    entry = F.struct("metres", F.col(name).alias("name"), F.col(rating).alias("rating"))
-    every = pairs.groupBy(point_id).agg(F.array_sort(F.collect_list(entry)).alias("__all"))
+def nearest_listed(points: DataFrame, sites: DataFrame, point_id: str, name: str, rating: str, metres: float = 4000.0, most: int = 5, ratings: tuple[str, ...] = ("Outstanding", "Good"), order: str | None = None) -> DataFrame:
+    """(point_id, nearest, best): the ``most`` nearest sites as structs by whole metres, and the best rated one of these: the nearest of the first rating that occurs, else the nearest rated at all.
+
+    Ties go by ``order``, a column of the sites (their place in the source), or else by name. Only the nearest of a
+    point are gathered, however many are within reach.
+    """
+    own = [name, rating] if order in (None, name, rating) else [name, rating, order]
+    pairs = within(points, sites, metres, own).withColumn("metres", F.round("distance").cast("long"))
+    entry = F.struct("metres", F.col(order or name).alias("order"), F.col(name).alias("name"), F.col(rating).alias("rating"))
+    near = top_k(pairs.select(point_id, entry.alias("__entry")), [point_id], [F.col("__entry")], most)
+    listed = near.groupBy(point_id).agg(F.array_sort(F.collect_list("__entry")).alias("nearest"))
+    every = listed.withColumn("nearest", F.transform("nearest", lambda s: F.struct(s["metres"].alias("metres"), s["name"].alias("name"), s["rating"].alias("rating"))))
 
     def first_of(wanted: str) -> Column:
-        return F.get(F.filter("__all", lambda s: F.coalesce(F.lower(s["rating"]).contains(wanted.lower()), F.lit(False))), 0)
+        return F.get(F.filter("nearest", lambda s: F.coalesce(F.lower(s["rating"]).contains(wanted.lower()), F.lit(False))), 0)
 
     picks = [first_of(r) for r in ratings]
-    best = F.coalesce(*picks, F.get(F.filter("__all", lambda s: F.coalesce(s["rating"], F.lit("")) != ""), 0))
-    return every.select(point_id, F.slice("__all", 1, most).alias("nearest"), best.alias("best"))
+    best = F.coalesce(*picks, F.get(F.filter("nearest", lambda s: F.coalesce(s["rating"], F.lit("")) != ""), 0))
+    return every.select(point_id, "nearest", best.alias("best"))
 
 
 def polygon_alerts(points: DataFrame, alerts: DataFrame, point_id: str, km: float = 5.0) -> DataFrame:

@@ -53,16 +53,21 @@ def cohort_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT count(*) AS requested, count(*) FILTER (WHERE quality = 1) AS resolved, count(*) FILTER (WHERE quality IS NULL OR quality <> 1) AS pending, count(*) FILTER (WHERE quality = 0) AS errors FROM documents LEFT JOIN labels USING (doc_id)""")
+WITH j AS (SELECT CASE WHEN quality = 1 THEN 'matched' WHEN toxic = 1 THEN 'error' WHEN quality = 0 THEN 'no_match' END AS status, floor((doc_id % 25) * 12 / 24.0) AS age FROM documents LEFT JOIN labels USING (doc_id)),
+k AS (SELECT *, coalesce(status = 'matched', false) AS m, coalesce(status = 'no_match' AND age < 10, false) AS n FROM j)
+SELECT count(*) AS requested, count(*) FILTER (WHERE m OR n) AS resolved, count(*) FILTER (WHERE NOT m AND NOT n) AS pending, count(*) FILTER (WHERE status = 'error') AS errors, count(*) FILTER (WHERE m) AS matched, count(*) FILTER (WHERE n) AS no_match FROM k""")
 def terminal_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "matched").otherwise("error").alias("status"))
-    return aggregates.terminal_accounting(table(spark, sf_dir, "documents"), cache, "doc_id", "status")
+    """Labels as cached evidence of 0 to 12 days, in half days, so some lie exactly at the limit of 10 and half a day beyond."""
+    now = F.lit(_NOW).cast("timestamp")
+    status = F.when(F.col("quality") == 1, "matched").when(F.col("toxic") == 1, "error").when(F.col("quality") == 0, "no_match")
+    cache = table(spark, sf_dir, "labels").select("doc_id", status.alias("status"), (now - F.make_dt_interval(hours=(F.col("doc_id") % 25 * 12).cast("int"))).alias("updated_at"))
+    return aggregates.terminal_accounting(table(spark, sf_dir, "documents"), cache, "doc_id", "status", "updated_at", now, 10)
 
 
 _TTL = f"""
 WITH s AS (SELECT user_id, event_type, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type, event_id) AS pos FROM events),
 c AS (SELECT user_id, event_type AS status, (epoch(TIMESTAMP '{_NOW}') - floor(epoch(ts))) / 3600.0 AS age FROM s WHERE pos = 1),
-p AS (SELECT user_id, [age <= 240, status = 'click' AND floor(age / 24) <= 10, CASE status WHEN 'click' THEN true WHEN 'error' THEN false ELSE floor(age / 24) <= 10 END, status <> 'error' AND age * 3600 <= 864000] AS ok FROM c),
+p AS (SELECT user_id, [age < 240, status = 'click' AND floor(age / 24) < 10, CASE status WHEN 'click' THEN true WHEN 'error' THEN false ELSE floor(age / 24) < 10 END, status <> 'error' AND age * 3600 < 864000] AS ok FROM c),
 u AS (SELECT DISTINCT user_id FROM events)
 SELECT user_id, policy FROM u JOIN p USING (user_id), LATERAL (VALUES ('any', 1), ('matched', 2), ('certificate', 3), ('seconds', 4)) t(policy, k) WHERE NOT ok[k]"""
 

@@ -74,8 +74,8 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT c_custkey, upper(c_mktsegment) || ' ' || c_custkey AS line, CASE c_custkey % 3 WHEN 0 THEN 'KT11 2JJ' WHEN 1 THEN 'gu1-4qq' ELSE '' END AS code, c_custkey % 7 = 0 AS tailed FROM customer)
-SELECT c_custkey AS id, 'property:' || line || '|' || CASE WHEN c_custkey % 3 = 0 THEN 'KT112JJ' WHEN c_custkey % 3 = 1 THEN 'GU14QQ' WHEN tailed THEN 'KT227RX' ELSE 'NOPOSTCODE' END AS property_id FROM a""")
+WITH a AS (SELECT c_custkey, upper(c_mktsegment) || ' ' || c_custkey AS line, c_custkey % 7 = 0 AS tailed FROM customer)
+SELECT c_custkey AS id, 'property:' || line || CASE WHEN c_custkey % 3 = 0 THEN ' KT11 2JJ|KT112JJ' WHEN c_custkey % 3 = 1 THEN '|GU14QQ' WHEN tailed THEN ' KT22 7RX|KT227RX' ELSE '|NOPOSTCODE' END AS property_id FROM a""")
 def property_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     code = F.when(k % 3 == 0, "KT11 2JJ").when(k % 3 == 1, "gu1-4qq").otherwise("")

@@ -46,11 +46,11 @@ def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH c AS ({_CUSTOMERS}), s AS ({_SUPPLIERS}),
-p AS (SELECT c.id, CAST(round({_haversine("c", "s")}) AS BIGINT) AS m, name, rating FROM c JOIN s ON {_haversine("c", "s")} <= 4000),
-k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, name, rating) AS pos, CASE WHEN rating LIKE 'Outstanding%' THEN 0 WHEN rating LIKE 'Good%' THEN 1 WHEN rating <> '' THEN 2 END AS tier FROM p)
-SELECT id, string_agg(name || ':' || m, ' ' ORDER BY pos) FILTER (WHERE pos <= 5) AS nearest, arg_min(name, tier * 1000000 + pos) FILTER (WHERE tier IS NOT NULL) AS best FROM k GROUP BY id""")
+p AS (SELECT c.id, CAST(round({_haversine("c", "s")}) AS BIGINT) AS m, site, name, rating FROM c JOIN s ON {_haversine("c", "s")} <= 4000),
+k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, site) AS pos, CASE WHEN rating LIKE 'Outstanding%' THEN 0 WHEN rating LIKE 'Good%' THEN 1 WHEN rating <> '' THEN 2 END AS tier FROM p)
+SELECT id, string_agg(name || ':' || m, ' ' ORDER BY pos) AS nearest, arg_min(name, tier * 1000000 + pos) FILTER (WHERE tier IS NOT NULL) AS best FROM k WHERE pos <= 5 GROUP BY id""")
 def radius_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spatial.nearest_listed(_customers(spark, sf_dir), _suppliers(spark, sf_dir), "id", "name", "rating", 4000)
+    out = spatial.nearest_listed(_customers(spark, sf_dir), _suppliers(spark, sf_dir), "id", "name", "rating", 4000, order="site")
     shown = F.array_join(F.transform("nearest", lambda s: F.concat(s["name"], F.lit(":"), s["metres"].cast("string"))), " ")
     return out.select("id", shown.alias("nearest"), F.col("best.name").alias("best"))
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import html
 import random
 import re
@@ -55,8 +56,9 @@ def test_html_text(rows):
 
 @pytest.mark.parametrize(("address", "code", "given", "want"), [
     ("The Old Grove, High Pitfold, Hindhead", "", None, "property:THE OLD GROVE HIGH PITFOLD HINDHEAD|NOPOSTCODE"),
-    ("1 High Street, KT11 2JJ", "", None, "property:1 HIGH STREET|KT112JJ"),
-    ("1 High Street, KT11 2JJ", "kt11 2jj", None, "property:1 HIGH STREET|KT112JJ"),
+    ("1 High Street, KT11 2JJ", "", None, "property:1 HIGH STREET KT11 2JJ|KT112JJ"),
+    ("1 High Street, KT11 2JJ", "kt11 2jj", None, "property:1 HIGH STREET KT11 2JJ|KT112JJ"),
+    ("1 High Street", "kt11 2jj", None, "property:1 HIGH STREET|KT112JJ"),
     ("", "", "lr-1", "lr-1"), ("", "KT11 2JJ", "lr-1", ""), (None, None, None, ""),
 ])
 def test_property_identity(rows, address, code, given, want):
@@ -68,6 +70,12 @@ def test_transaction_id_keeps_every_slot(rows):
     assert got[0] != got[1] and all(re.fullmatch("lr-[0-9a-f]{20}", g[0]) for g in got)
 
 
+def test_sale_id_ignores_spacing(rows):
+    parts = [("1  high\tstreet ", "KT11 2JJ"), ("1 HIGH STREET", "kt112jj"), ("1 HIGHSTREET", "KT112JJ")]
+    got = [g[0] for g in rows(parts, "a string, c string", text.sale_id("a", "c", F.lit(5), F.lit("2020-01-02"), F.lit("Detached"), F.lit("A")))]
+    assert got[0] == got[1] == "lr-" + hashlib.sha256(b"1 HIGH STREET|KT112JJ|5|2020-01-02|DETACHED|A").hexdigest()[:20] and got[2] != got[0]
+
+
 def test_money_replicates_and_fixes(rows):
     values = ["£5 MILLION", "£1,250,000", "£3BN", "none", "£2.5m and £900k", "£5 many", None]
     got = rows([(v,) for v in values], "v string", text.money_value("v"), text.money_value("v", strict=True))
@@ -80,6 +88,10 @@ def test_numbers(rows):
     assert got == [(-1234.5, 12), (None, 7), (None, None), (None, None)]
     assert rows([(1.0,), (0.0,), (float("nan"),), (float("inf"),), (None,)], "x double", text.finite_positive("x")) == [(True,), (False,), (False,), (False,), (False,)]
     assert rows([("24.9",), ("25",), ("4000.1",), ("",)], "a string", text.floor_area("a")) == [(None,), (25.0,), (None,), (None,)]
+    # The first valid area counts, not the first number.
+    assert rows([("10", "100"), ("90", "100"), (None, "9"), ("x", None)], "a string, b string", text.floor_area("a", "b")) == [(100.0,), (90.0,), (None,), (None,)]
+    flat = {"rooms.0.floor_area": "50", "total-floor-area": "10", "gross.floorArea": "120 m2", "height": "3"}
+    assert rows([(flat,), ({},), (None,)], "m map<string,string>", text.any_floor_area(F.col("m"))) == [(120.0,), (None,), (None,)]
 
 
 def test_house_ranges(rows):
@@ -122,6 +134,17 @@ def test_freshness_and_policies(rows):
     assert got == [(False, False, True, False), (True, False, True, True), (True, False, False, False), (False, False, False, False), (True, True, True, True)]
 
 
+@pytest.mark.parametrize(("status", "days", "limit", "want"), [
+    ("matched", 2, 2, (False, False, True, False)), ("matched", 1.999, 2, (True, True, True, True)), ("matched", 2.5, 2, (False, False, True, False)),
+    ("no_match", 2, 2, (False, False, False, False)), ("no_match", 1.999, 2, (True, False, True, True)), ("no_match", 2.5, 2, (False, False, False, False)),
+    ("matched", 0, 0, (False, False, True, False)), ("no_match", 0, 0, (False, False, False, False)), ("matched", -1, 0, (False, False, True, False)), ("matched", 0, -1, (False, False, True, False)),
+])
+def test_what_reaches_the_limit_has_expired(rows, status, days, limit, want):
+    now = datetime(2024, 1, 10)
+    policies = [temporal.cache_valid(F.col("s"), F.col("t"), F.lit("2024-01-10 00:00:00").cast("timestamp"), limit, p) for p in ("any", "matched", "certificate", "seconds")]
+    assert rows([(status, now - timedelta(days=days))], "s string, t timestamp", *policies) == [want]
+
+
 def test_distances(rows):
     def plain(a, b, c, d):
         h = sin(radians(c - a) / 2) ** 2 + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2
