@@ -89,11 +89,13 @@ def anchored_sales(properties: DataFrame, known: DataFrame, registry: DataFrame,
 
     properties: property_id, address, block; known: property_id, date, price; registry: sale_id, block, sale_address,
     date, price. Rows of the same block and address are taken; where there are none, the registered address that shares
-    a known sale (date and price) and scores best is the anchor, and all its rows are taken.
+    a known sale (date and price) and scores best is the anchor, and all its rows are taken. The known sales come first
+    and meet the registry on block, date and price, so pairs grow with the sales, not with the square of a block.
     """
     exact = properties.join(registry, "block").where("address = sale_address").select("property_id", "sale_id", F.lit("exact-address").alias("method"))
     rest = properties.join(exact.select("property_id").distinct(), "property_id", "left_anti")
-    signed = rest.join(registry, "block").join(known, ["property_id", "date", "price"], "left_semi").withColumn("__score", score)
+    sales = known.select("property_id", "date", "price").distinct()
+    signed = rest.join(sales, "property_id").join(registry, ["block", "date", "price"]).withColumn("__score", score)
     anchor = signed.groupBy("property_id", "block").agg(F.max_by("sale_address", F.struct(F.col("__score"), F.col("sale_address"))).alias("sale_address"))
     more = anchor.join(registry, ["block", "sale_address"]).select("property_id", "sale_id", F.lit("known-sale-anchor").alias("method"))
     return exact.unionByName(more).distinct()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -28,9 +27,11 @@ def priority_lookup(new: DataFrame, old: DataFrame, exact: str, alternatives: Se
     match = F.col("__exact_row")
     for k, key in enumerate(alternatives):
         name = f"alt{k}"
+        # Counted with partial aggregation, null keys left out: no window gathers the rows that lack a key.
         grouped = old.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"__{name}")).agg(F.count("*").alias("__n"), F.any_value(pack).alias(f"__{name}_row")).where("__n = 1").drop("__n")
-        out = out.withColumn(f"__{name}_own", F.count("*").over(W.partitionBy(key))).join(grouped, F.col(key) == F.col(f"__{name}"), "left")
-        match = F.coalesce(match, F.when(F.col(f"__{name}_own") == 1, F.col(f"__{name}_row")))
+        single = new.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"__{name}")).agg(F.count("*").alias("__n")).where("__n = 1").drop("__n")
+        out = out.join(grouped.join(single, f"__{name}", "left_semi"), F.col(key) == F.col(f"__{name}"), "left")
+        match = F.coalesce(match, F.col(f"__{name}_row"))
     out = out.withColumn("__match", match).join(side("donor", old.where(filled), donor, F.min_by(pack, ordinal)), F.col(donor) == F.col("__donor"), "left")
     gained = [F.col(f"__match.{c}").isNull() & F.col(f"__donor_row.{c}").isNotNull() for c in extras]
     reused, carried = gained[0], F.coalesce(*[F.coalesce(F.col(f"__match.{c}"), F.col(f"__donor_row.{c}")).cast("string") for c in extras]).isNotNull()

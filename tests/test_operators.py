@@ -106,7 +106,10 @@ def test_listed_and_alerts(spark):
     points = table(spark, [(1, 51.0, 0.0), (2, 53.0, 0.0)], "id int, lat double, lon double")
     sites = table(spark, [(f"s{k}", r, 51.0 + k / 1000, 0.0) for k, r in enumerate(["", "Good", "", "", "", "", "", "Outstanding"])], "name string, rating string, lat double, lon double")
     r = spatial.nearest_listed(points, sites, "id", "name", "rating").collect()
-    assert len(r) == 1 and [s["name"] for s in r[0]["nearest"]] == ["s0", "s1", "s2", "s3", "s4"] and r[0]["best"]["name"] == "s7"
+    # s7 is outstanding, but not among the five nearest.
+    assert len(r) == 1 and [s["name"] for s in r[0]["nearest"]] == ["s0", "s1", "s2", "s3", "s4"] and r[0]["best"]["name"] == "s1"
+    tied = table(spark, [(2, "a", "Good", 51.0, 0.0), (1, "b", "Good", 51.0, 0.0)], "at int, name string, rating string, lat double, lon double")
+    assert [spatial.nearest_listed(points, tied, "id", "name", "rating", order=o).first()["best"]["name"] for o in (None, "at")] == ["a", "b"]
     assert spatial.nearest_listed(points, sites.withColumn("rating", F.lit("")), "id", "name", "rating").first()["best"] is None
 
 
@@ -145,6 +148,15 @@ def test_summary_and_coverage(spark):
     assert aggregates.coverage(df.limit(0), {"x": (F.lit(True), 1.0)}).first()["pct"] == 0.0
 
 
+def test_terminal_accounting_asks_for_valid_evidence(spark):
+    at = F.lit("2024-01-20").cast("timestamp")
+    rows = table(spark, [(k,) for k in "aabcdefg"], "k string")
+    cache = table(spark, [("a", "matched", 900), ("b", "no_match", 239), ("c", "no_match", 240), ("d", "error", 1), ("e", "missing", 1), ("f", None, 1), ("z", "matched", 1)], "k string, s string, hours int")
+    cache = cache.withColumn("t", at - F.make_dt_interval(hours=F.col("hours")))
+    got = pairs(aggregates.terminal_accounting(rows, cache, "k", "s", "t", at, 10), "requested", "resolved", "pending", "errors", "matched", "no_match")
+    assert got == [(8, 3, 5, 1, 2, 1)]
+
+
 def test_gates(spark):
     assert quality.expansion_failures(10, 6, 5, 4, 4) == [] and quality.expansion_failures(10, 6, 7, 4, 5, strict=True) == ["more pending than initial", "more reused than preserved", "rows are pending"]
     assert quality.drift_failures(98.0, 95.9) and not quality.drift_failures(98.0, 96.0)
@@ -192,6 +204,29 @@ def test_near_duplicate_chain(spark):
     assert pairs(articles.near_duplicate_titles(table(spark, rows, schema)), "id") == [("a",), ("c",), ("e",)]
 
 
+def test_greedy_rounds_give_the_choice_one_by_one(spark):
+    import random
+
+    rng = random.Random(3)
+    edges = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(120)} | {(k, k + 1) for k in range(60, 70)}
+    kept = []
+    for k in range(71):
+        if not any((o, k) in edges for o in kept):
+            kept.append(k)
+    gone = articles.greedily_removed(table(spark, sorted(edges), "first int, second int"))
+    assert sorted(r["id"] for r in gone.collect()) == sorted(set(range(71)) - set(kept))
+    assert articles.greedily_removed(table(spark, [], "first int, second int")).count() == 0
+
+
+def test_feed_order_and_ids(spark):
+    rows = [(str(k), f"https://x/{k}", f"title number{k} alone{k}", "L", ["T"], k % 3, f"2024-01-0{k}") for k in range(1, 8)]
+    df = table(spark, rows, "id string, url string, title string, location string, topics array<string>, score int, published_at string")
+    assert [r["id"] for r in articles.feed(df, 4).collect()] == ["5", "2", "7", "4"]
+    import hashlib
+
+    assert df.select(articles.article_id(F.lit("s"), "url")).first()[0] == "news-" + hashlib.sha256(b"s|https://x/1").hexdigest()[:20]
+
+
 def test_near_duplicate_titles_are_whole_texts(spark, tmp_path):
     import random
 
