@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.text import SPACES, canonical, jaccard, postcode, ratcliff_ratio, text
+from plinth.functions.text import SPACES, canonical, clean, jaccard, postcode, ratcliff_ratio, text
 from plinth.operators.dedup import top_k
 
 NOISE = ("A", "AN", "AND", "APARTMENT", "AT", "FLAT", "HOUSE", "PROPERTY", "SURREY", "THE", "UNIT")
@@ -84,6 +84,27 @@ def match_applications(properties: DataFrame, applications: DataFrame, least: fl
     return sure.unionByName(near)
 
 
+def sales_coverage(properties: DataFrame, cache: DataFrame, selected: DataFrame | None = None) -> DataFrame:
+    """(property_id, coverage_status, coverage_reason): whether a property's registered sales have been looked up.
+
+    properties: property_id, postcode; cache: postcode, updated_at, last_error; selected: the postcodes asked for, all if
+    None. Without postcode it's unavailable, outside the selection not_checked, without a dated look-up unavailable,
+    else complete (and then without a reason).
+    """
+    code = postcode("postcode").alias("__code")
+    looked = top_k(cache.select(code, F.col("updated_at").alias("__when"), clean("last_error").alias("__error")), ["__code"], [F.col("__when").desc_nulls_last(), F.col("__error")], 1)
+    chosen = F.lit(True)
+    both = properties.select("property_id", code).join(looked, "__code", "left")
+    if selected is not None:
+        both = both.join(selected.select(code).distinct().withColumn("__chosen", F.lit(True)), "__code", "left")
+        chosen = F.col("__chosen").isNotNull()
+    none, late = F.col("__code") == "", F.col("__when").isNull()
+    status = F.when(none, "unavailable").when(~chosen, "not_checked").when(late, "unavailable").otherwise("complete")
+    error = F.coalesce(F.nullif(F.col("__error"), F.lit("")), F.lit("Look-up of the postcode unavailable"))
+    reason = F.when(none, "No postcode in the source's record").when(~chosen, "Excluded by the postcodes asked for").when(late, error).otherwise("")
+    return both.select("property_id", status.alias("coverage_status"), reason.alias("coverage_reason"))
+
+
 def anchored_sales(properties: DataFrame, known: DataFrame, registry: DataFrame, score: Column) -> DataFrame:
     """(property_id, sale_id, method): all registered sales of a property.
 

@@ -102,6 +102,42 @@ def news_violations(items: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).cast("long").alias("n")) for n in names]))).where("n > 0")
 
 
+NEWS = frozenset("id title url source source_id published_at score scoring_version location topics reason rights_mode".split())
+UNLICENSED = frozenset(("body", "image", "summary"))
+
+
+def news_failures(items: DataFrame, stated: Mapping[str, object]) -> list[str]:
+    """Of a news feed and its metadata: fields it needs and mustn't have, versions, and ``news_violations``."""
+    have = set(items.columns)
+    out = [f"missing field: {c}" for c in sorted(NEWS - have)] + [f"unlicensed content: {c}" for c in sorted(UNLICENSED & have)]
+    out += [f"{k} is {stated.get(k)!r}" for k, v in (("schema_version", 1), ("rights_mode", "link-only")) if stated.get(k) != v]
+    if NEWS <= have:
+        stale = items.where(~F.col("scoring_version").eqNullSafe(F.lit(stated.get("scoring_version")))).count()
+        out += [f"{stale} items of another scoring version"] if stale else []
+        out += [f"{r['rule']}: {r['n']}" for r in news_violations(items).collect()]  # one row per rule
+    return out
+
+
+def history_failures(keys: DataFrame, base: DataFrame, stated: Mapping[str, int], most: int = 200_000) -> list[str]:
+    """Of a map of histories: its size, keys that the ledger doesn't have, and the coverage that its metadata states.
+
+    keys: key (a property or a transaction); base: property_record_id, id. Only counts reach the driver.
+    """
+    k, prop = keys.select("key").distinct(), F.col("key").startswith("property:")
+    n = k.agg(F.count("*").alias("all"), F.count_if(prop).alias("properties")).first()
+    known = base.select(F.col("property_record_id").alias("key")).where("key <> ''").distinct()
+    ids = base.select(F.col("id").cast("string").alias("key")).where("key <> ''").distinct()
+    strays = k.where(prop).join(known, "key", "left_anti").count(), k.where(~prop).join(ids, "key", "left_anti").count()
+    checked = known.count()
+    checks = {
+        f"{n['all']} keys, {most} allowed": n["all"] > most,
+        f"properties checked: stated {stated.get('properties_checked')}, the ledger has {checked}": stated.get("properties_checked") != checked,
+        f"keys outside the ledger: {strays[0]} properties, {strays[1]} transactions": any(strays),
+        f"properties with history: stated {stated.get('properties_with_history')}, found {n['properties']}": stated.get("properties_with_history") != n["properties"],
+    }
+    return [text for text, bad in checks.items() if bad]
+
+
 def planning_truthful(status: Column, mode: Column, applications: Column, latest: Column, count: Column) -> Column:
     """Observed needs positive evidence; unknown and unavailable must make no negative claim. Null stands for an absent field."""
     some, last = F.coalesce(F.size(applications), F.lit(0)) > 0, clean(latest)

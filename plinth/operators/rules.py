@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plinth.functions.text import clean, text
+
 #: Rules above this size are left to Spark's own choice of join.
 BROADCAST_ROWS = 20_000
 
@@ -16,8 +18,10 @@ def audit_safe(scope: Column, ranges: Column, status: Column, special: Column, c
     return F.coalesce((F.coalesce(status, F.lit("")) != "hold") & ((scope == "whole") | ranged | segment), F.lit(False))
 
 
-def usable_aliases(aliases: Column, disabled: list[str]) -> Column:
-    return F.filter(aliases, lambda a: ~F.lower(a).isin([d.lower() for d in disabled])) if disabled else aliases
+def usable_aliases(estate: Column, aliases: Column, disabled: list[tuple[str, str]]) -> Column:
+    """Cleaned aliases of an estate, without the (estate, alias) pairs that are disabled; the same alias of another estate stays."""
+    pairs = [f"{e}|{a}" for e, a in disabled]
+    return F.filter(F.transform(aliases, lambda a: clean(a)), lambda a: ~F.concat(text(estate), F.lit("|"), a).isin(pairs))
 
 
 def in_ranges(number: Column, ranges: Column) -> Column:
@@ -35,7 +39,7 @@ def unique_rule_join(rows: DataFrame, rules: DataFrame, row_id: str, street: str
     """
     spelt = rules.withColumn("__street", F.explode(F.concat(F.array("street"), F.coalesce("aliases", F.array().cast("array<string>")))))
     spelt = spelt.select("__street", "authorities", "towns", "postcodes", "ranges", F.struct(*outputs).alias("__rule"))
-    if rules.isLocal() or rules.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if rules.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         spelt = F.broadcast(spelt)
     own = F.array_compact(F.transform(places, lambda p: F.nullif(p, F.lit(""))))
     number = F.when(F.col(house).rlike("^[0-9]+$"), F.col(house).try_cast("int"))

@@ -45,6 +45,16 @@ def key_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.missing_keys(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")), "key")
 
 
+@query("""
+WITH e AS (SELECT CASE WHEN o_orderkey % 97 = 0 THEN -o_custkey ELSE o_custkey END AS key FROM orders), b AS (SELECT c_custkey AS key FROM customer)
+SELECT key, 'base' AS side FROM (SELECT key FROM b EXCEPT SELECT key FROM e) UNION ALL SELECT key, 'emitted' FROM (SELECT key FROM e EXCEPT SELECT key FROM b)""")
+def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``key_integrity``, with keys that the other table doesn't have on either side."""
+    k = F.col("o_custkey")
+    emitted = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 97 == 0, -k).otherwise(k).alias("key"))
+    return lookup.missing_keys(emitted, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")), "key")
+
+
 @query("""
 SELECT count(*) AS rows, count(*) FILTER (WHERE l_returnflag = 'A') AS preserved, count(*) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F') AS reused, count(*) FILTER (WHERE l_returnflag <> 'A') AS "new" FROM lineitem""")
 def cohort_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from plinth.functions.text import canonical_url, strip_tags, text
 
 MAX_BYTES = 5_000_000
 _LINK = "array<struct<_href:string,_rel:string,_VALUE:string>>"
-_ITEM = f"struct<title:string,link:{_LINK},description:string,summary:string,content:string,pubDate:string,published:string,updated:string,date:string>"
+_ITEM = f"struct<title:string,link:{_LINK},description:string,summary:string,content:string,encoded:string,pubDate:string,published:string,updated:string,date:string>"
 
 
 def _bare(c: Column) -> Column:
@@ -34,5 +34,5 @@ def entries(payloads: DataFrame, xml: str, now: Column) -> DataFrame:
     links = F.filter("__i.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     link = F.coalesce(F.get(links, 0)["_href"], F.get(links, 0)["_VALUE"])
     when = F.coalesce(F.col("__i.pubDate"), F.col("__i.published"), F.col("__i.updated"), F.col("__i.date"))
-    out = rows.select(*keep, canonical_url(link).alias("url"), strip_tags(F.col("__i.title"), full=True).alias("title"), strip_tags(F.coalesce(F.col("__i.description"), F.col("__i.summary"), F.col("__i.content")), full=True).alias("description"), parse_when(text(when), now).alias("published_at"))
+    out = rows.select(*keep, canonical_url(link).alias("url"), strip_tags(F.col("__i.title"), full=True).alias("title"), strip_tags(F.coalesce(F.col("__i.description"), F.col("__i.summary"), F.col("__i.content"), F.col("__i.encoded")), full=True).alias("description"), parse_when(text(when), now).alias("published_at"))
     return out.where("url <> '' and title <> ''")
