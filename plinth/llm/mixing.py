@@ -8,6 +8,10 @@ weight needs to be played once; the others begin again (``epoch``). Blocks that
 (``epoch`` 0), so every document is played.
 
 Running sums are taken in two levels (buckets, then within a bucket), so that no source is one task's work.
+
+``mixed_documents`` moves texts once. The played schedule, which has no texts, is cut into parts of equal bytes. What a
+part plays of a source in an epoch is one stretch of the order of keys, so a row finds its parts in a small table of
+stretches, goes straight there, and meets its exact slots in the part.
 """
 
 from __future__ import annotations
@@ -25,6 +29,10 @@ _ONE = 1 << 32
 _GOLDEN = 2654435769
 _CHUNK = 4096
 _CELLS = 256
+_SLOTS = 64
+#: A part of the mix holds so many bytes at least; up to so many stretches are broadcast.
+PART_BYTES = 1 << 20
+STRETCHES = 250_000
 
 
 def _running(df: DataFrame, group: list[str], bucket: Column, value: Column, order: list[Column], name: str) -> DataFrame:
@@ -36,6 +44,11 @@ def _running(df: DataFrame, group: list[str], bucket: Column, value: Column, ord
     return df.withColumn("__inner", inner).join(before, [*group, "__bucket"]).withColumn(name, F.col("__inner") + F.col("__before")).drop("__bucket", "__value", "__inner", "__before")
 
 
+def _key(doc_id: Column, seed: str) -> Column:
+    """Orders the documents of a source."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+
+
 def mix_schedule(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = EXPONENT, block_tokens: int = BLOCK_TOKENS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(slot, source, epoch, block, offset, doc_id, n_tokens): when each document is played, and again.
 
@@ -46,11 +59,11 @@ def mix_schedule(docs: DataFrame, weights: dict[str, float] | None = None, expon
     an empty schedule. Without any weight (an empty dictionary, or one of absent sources) there are no slots and all is
     played at the end, once. Other columns are ignored.
     """
-    return _schedule(docs, weights, exponent, block_tokens, seed, id_col, text_col, source_col)[0].drop("version")
+    return _schedule(docs, weights, exponent, block_tokens, seed, id_col, text_col, source_col)[0].drop("version", "n_bytes")
 
 
 def _schedule(docs: DataFrame, weights: dict[str, float] | None, exponent: float, block_tokens: int, seed: str, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, list[DataFrame]]:
-    """(``mix_schedule`` with each row's version, tables that it reads)."""
+    """(``mix_schedule`` with each row's version and bytes, tables that it reads)."""
     if weights and min(weights.values()) < 0:
         raise ValueError("weights must not be negative")
     spark = docs.sparkSession
@@ -58,10 +71,11 @@ def _schedule(docs: DataFrame, weights: dict[str, float] | None, exponent: float
         docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("source"),
         F.regexp_count(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit("[^ \t\n\r]+")).cast("long").alias("n_tokens"),
         text_version(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("version"),
-    ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+        F.coalesce(F.octet_length(docs[text_col].cast("string")), F.lit(0)).cast("long").alias("n_bytes"),
+    ).withColumn("key", _key(F.col("doc_id"), seed))
     rows = cut(rows, "mix")
     placed = _running(rows, ["source"], F.substring("key", 1, 3), F.col("n_tokens"), [F.col("key"), F.col("doc_id"), F.col("n_tokens")], "offset")
-    placed = placed.withColumn("block", F.floor(F.col("offset") / F.lit(block_tokens)).cast("long")).select("doc_id", "source", "version", "n_tokens", "offset", "block")
+    placed = placed.withColumn("block", F.floor(F.col("offset") / F.lit(block_tokens)).cast("long")).select("doc_id", "source", "version", "n_tokens", "n_bytes", "offset", "block")
     totals = rows.groupBy("source").agg(F.greatest(F.sum("n_tokens"), F.lit(1)).alias("tokens"))
     if weights is None:
         weighed = totals.withColumn("weight", F.pow(F.col("tokens").cast("double"), F.lit(float(exponent))))
@@ -85,7 +99,7 @@ def _schedule(docs: DataFrame, weights: dict[str, float] | None, exponent: float
     late = missed.withColumn("all", F.lit("")).withColumn("one", F.lit(1))
     tail = _running(late, ["all"], F.floor(F.col("block") / _CHUNK), F.col("one"), [F.col("block"), F.col("source")], "place")
     tail = tail.select((F.col("place") + F.lit(int(length))).cast("long").alias("slot"), "source", "block", F.lit(0).cast("long").alias("epoch"))
-    plan = played.unionByName(tail).join(placed, ["source", "block"]).select("slot", "source", "epoch", "block", "offset", "doc_id", "version", "n_tokens")
+    plan = played.unionByName(tail).join(placed, ["source", "block"]).select("slot", "source", "epoch", "block", "offset", "doc_id", "version", "n_tokens", "n_bytes")
     return plan, [rows, shares]
 
 
@@ -96,12 +110,38 @@ def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None, ex
     equal in all three are played the same number of times each, all of them where the first of them has its slot. Rows
     are sorted by slot across partitions; what is written of them keeps that order by file.
     """
+    spark = docs.sparkSession
     plan, reads = _schedule(docs, weights, exponent, block_tokens, seed, id_col, text_col, source_col)
-    plays = cut(plan.groupBy(F.col("doc_id").alias("__mixed"), F.col("source").alias("__source"), F.col("version").alias("__version"), "epoch").agg(F.min(F.struct("slot", "offset")).alias("__at")).drop("epoch"), "plays")
+    plays = plan.groupBy(F.col("doc_id").alias("__mixed"), F.col("source").alias("__source"), F.col("version").alias("__version"), F.col("epoch").alias("__epoch")).agg(F.min(F.struct("slot", "offset")).alias("__at"), F.sum(F.col("n_bytes") + 64).alias("__size"))
+    plays = cut(plays.withColumn("__place", _place(F.col("__mixed"), seed)), "plays")
     discard(*reads)
-    own = docs[id_col].cast("long").eqNullSafe(plays["__mixed"]) & (F.coalesce(docs[source_col].cast("string"), F.lit("")) == plays["__source"])
-    both = docs.join(plays, own & (text_version(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == plays["__version"]))
-    return both.orderBy(plays["__at.slot"], plays["__at.offset"]).select(*[docs[c] for c in docs.columns])
+    size = plays.agg(F.sum("__size")).first()[0] or 1
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES))
+    order = [F.col(c) for c in ("__at", "__place", "__mixed", "__source", "__version", "__epoch")]
+    placed = _running(plays.withColumn("__all", F.lit("")), ["__all"], F.floor(F.col("__at.slot") / _SLOTS), F.col("__size"), order, "__start")
+    placed = placed.withColumn("__part", F.least(F.floor(F.col("__start") / F.lit(size / parts)), F.lit(parts - 1)).cast("int"))
+    placed = cut(placed.select("__part", "__epoch", "__mixed", "__source", "__version", "__at", "__place"), "placed")
+    discard(plays)
+    # A source's stretches are looked up by the first bits of their keys: about 16 of them at most in a cell.
+    bits = max(0, (parts // 16).bit_length())
+    cell = lambda place: F.shiftright(place, 60 - bits).cast("int")
+    stretches = cut(placed.groupBy("__source", "__epoch", "__part", cell(F.col("__place")).alias("__cell")).agg(F.min("__place").alias("__low"), F.max("__place").alias("__high")), "stretches")
+    stretches = stretches.withColumnsRenamed({"__source": "__of", "__epoch": "__in", "__part": "__to"})
+    if stretches.count() <= STRETCHES:
+        stretches = F.broadcast(stretches)
+    doc_id, text = docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    own = docs.withColumns({"__doc": doc_id, "__from": F.coalesce(docs[source_col].cast("string"), F.lit("")), "__text": text_version(text), "__key": _place(doc_id, seed)})
+    sent = own.join(stretches, (own["__from"] == stretches["__of"]) & (cell(own["__key"]) == stretches["__cell"]) & own["__key"].between(stretches["__low"], stretches["__high"]))
+    sent, placed = sent.repartitionById(parts, "__to"), placed.repartitionById(parts, "__part")
+    same = (F.col("__to") == F.col("__part")) & (F.col("__in") == F.col("__epoch")) & (F.col("__from") == F.col("__source")) & (F.col("__text") == F.col("__version"))
+    both = sent.join(placed, same & F.col("__doc").eqNullSafe(F.col("__mixed")))
+    # Parts ascend with the slots; both sides come by part, so the join leaves them where they are.
+    return both.sortWithinPartitions("__at.slot", "__at.offset").select(*[docs[c] for c in docs.columns])
+
+
+def _place(doc_id: Column, seed: str) -> Column:
+    """The first 60 bits of the key."""
+    return F.conv(F.substring(_key(doc_id, seed), 1, 15), 16, 10).cast("long")
 
 
 ORACLE_SQL = f"""

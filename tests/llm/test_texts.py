@@ -304,3 +304,47 @@ def test_mixed_documents_keep_the_schedule(spark):
     assert [p for p in got if p in lone] == [(r["doc_id"], r["source"]) for r in plan if (r["doc_id"], r["source"]) in lone]
     times = collections.Counter(s for _, s in got)
     assert times["small"] / 11 > 4 and times["big"] == 62
+
+
+def moves(df, column):
+    """How many shuffles of a plan move a column."""
+    nodes, found = [df._jdf.queryExecution().executedPlan().initialPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        output, children = node.output(), node.children()
+        found += node.nodeName() == "Exchange" and any(output.apply(k).name() == column for k in range(output.size()))
+        nodes += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_mixed_documents_move_texts_once(spark, monkeypatch):
+    """In many parts, with lists too large to be broadcast by themselves: one shuffle of texts, the order of the slots, and one block in several parts."""
+    rows = [(k, f"a{k} " * (1 + k % 90), "big") for k in range(400)] + [(k, f"b{k} " * 40, "small") for k in range(12)]
+    rows += [(1000 + k, "数" * 3000, "run") for k in range(40)] + [(7, "own text " * 9, "big"), (None, "n " * 40, "small"), (2000, None, "big"), (2001, "late " * 30, "unweighted")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "PART_BYTES", 4096, raising=False)
+    how = {"weights": {"big": 0.5, "small": 0.3, "run": 0.2}, "block_tokens": 200}
+    plan = mixing.mix_schedule(df, **how).collect()
+    text = collections.defaultdict(set)
+    for i, t, s in rows:
+        text[i, s].add(t)
+    at = {(r["doc_id"], r["source"], r["epoch"], r["n_tokens"]): (r["slot"], r["offset"]) for r in plan}
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = mixing.mixed_documents(df, **how)
+        got = out.withColumn("part", F.spark_partition_id()).collect()
+        assert moves(out, "text") == 1
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert collections.Counter((r["doc_id"], r["source"]) for r in got) == collections.Counter((r["doc_id"], r["source"]) for r in plan)
+    assert all(r["text"] in text[r["doc_id"], r["source"]] for r in got)
+    seen, places = collections.Counter(), []
+    for r in got:
+        n = len((r["text"] or "").split())
+        places.append(at[r["doc_id"], r["source"], seen[r["doc_id"], r["source"], n], n])
+        seen[r["doc_id"], r["source"], n] += 1
+    assert places == sorted(places)
+    assert len({r["part"] for r in got}) > 12 and len({r["part"] for r in got if r["source"] == "run"}) > 2
