@@ -121,21 +121,34 @@ def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[
         has, sign = signatures(batch.column("text"), bands * rows)
         if not len(has):
             continue
-        wide = sign.astype(np.uint64)
-        key = np.zeros((len(has), bands), np.uint64)
-        for k in range(rows):
-            key = mix(key * _GOLD + wide[:, k::rows][:, :bands] + np.uint64(1))
-        key = mix(key + np.arange(bands, dtype=np.uint64))
+        key = _keys(sign, bands, rows)
         whole = key[:, 0].copy()
         for k in range(1, bands):
             whole = mix(whole * _GOLD + key[:, k])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, bands, dtype=np.int32)), pa.array(key.view(np.int64).ravel()))
         blob = pa.Array.from_buffers(pa.binary(), len(has), [None, pa.py_buffer(np.arange(0, sign.nbytes + 1, bands * rows * 4, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(sign))])
         own = [batch.column(k).take(pa.array(has)) for k in ("doc_id", "version")]
-        yield pa.RecordBatch.from_arrays([*own, pa.array(whole.view(np.int64)), lists, blob], names=["doc_id", "version", "whole", "bands", "sign"])
+        yield pa.RecordBatch.from_arrays([*own, pa.array(whole.view(np.int64)), blob], names=["doc_id", "version", "whole", "sign"])
 
 
-def _matrix(signs: pd.Series) -> np.ndarray:
+def _keys(sign: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The bands' keys of each signature."""
+    wide = sign.astype(np.uint64)
+    key = np.zeros((len(sign), bands), np.uint64)
+    for k in range(rows):
+        key = mix(key * _GOLD + wide[:, k::rows][:, :bands] + np.uint64(1))
+    return mix(key + np.arange(bands, dtype=np.uint64))
+
+
+def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """(whole, bands): keys follow from signatures, so they are made where they are needed and neither kept nor moved along."""
+    for batch in batches:
+        if batch.num_rows:
+            key = _keys(_matrix(batch.column("sign").to_pylist()), bands, rows)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, bands, dtype=np.int32)), pa.array(key.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("whole"), lists], names=["whole", "bands"])
+
+
+def _matrix(signs: pd.Series | list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(signs), np.uint32).reshape(len(signs), -1)
 
 
@@ -215,10 +228,10 @@ def _hot_edges(members: DataFrame, signs: DataFrame, edges: DataFrame, threshold
 def _groups(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str, longest: int, block: int) -> DataFrame:
     """(doc_id, version, whole, keep): every row that has words and a near copy, and the least (doc_id, whole) of its group."""
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where("doc_id is not null and text is not null")
-    signed = cut(texts.withColumn("version", text_version(F.col("text"))).mapInArrow(partial(_sign, bands=bands, rows=rows), "doc_id long, version int, whole long, bands array<long>, sign binary"), "darts")
+    signed = cut(texts.withColumn("version", text_version(F.col("text"))).mapInArrow(partial(_sign, bands=bands, rows=rows), "doc_id long, version int, whole long, sign binary"), "darts")
     # Equal keys mean equal signatures and bands, so any row stands for its group.
-    alone = cut(signed.select("whole", "bands", "sign").dropDuplicates(["whole"]), "alone")
-    banded = alone.select("whole", F.explode("bands").alias("band"))
+    alone = cut(signed.select("whole", "sign").dropDuplicates(["whole"]), "alone")
+    banded = alone.mapInArrow(partial(_banded, bands=bands, rows=rows), "whole long, bands array<long>").select("whole", F.explode("bands").alias("band"))
     hot = cut(banded.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > longest).select("band"), "hot")
     some = bool(hot.head(1))
     calm = banded.join(hot, "band", "left_anti") if some else banded

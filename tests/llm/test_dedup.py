@@ -365,3 +365,14 @@ def test_embeddings_across_shards(spark):
     for chunk in (1, 3):
         got = {r["vec_id"]: r["keep_id"] for r in embedding_dedup.embedding_near_duplicates(df, shard_size=40, chunk=chunk).collect()}
         assert got == want and want[250] == 0 and want[601] == 299
+
+
+def test_keys_of_bands_are_not_kept(spark, monkeypatch):
+    """Keys follow from the signatures; only these are written, and moved to find equal ones."""
+    kept = []
+    monkeypatch.setattr(dartminhash, "cut", lambda df, tag: kept.append((tag, df.columns)) or components.cut(df, tag))
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(30)), "s") for k in range(6)]
+    rows += [(10, rows[0][1] + " and more", "s"), (11, rows[1][1], "s")]
+    found = dartminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {tuple(r) for r in found.collect()} == {(0, 0), (10, 0), (1, 1), (11, 1)}
+    assert ("alone", ["whole", "sign"]) in kept and not any("bands" in columns for _, columns in kept)
