@@ -20,6 +20,12 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -
     return df.withColumn("__at", at).where(F.col("__at") <= k).drop("__at")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows by the hash of their keys in several parts a core, for steps that make much of few bytes: adaptive execution leaves these parts as they are."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """The last row of each key by ``ordinal``, in the first one's place: ``ordinal`` becomes the least of the key."""
     w = W.partitionBy(*keys)

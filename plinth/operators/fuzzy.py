@@ -38,15 +38,22 @@ def token_score(left: Column, right: Column, left_numbers: Column, right_numbers
     return F.when(none, 0.0).otherwise(F.least(F.lit(1.0), score))
 
 
-def best_token_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str, score: Column, valid: Column, order: list[Column], least: float = 0.55, examined: int = 8) -> DataFrame:
+def best_token_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str, score: Column, valid: Column, order: list[Column], least: float = 0.55, examined: int = 8, row_columns: list[str] | None = None, candidate_columns: list[str] | None = None) -> DataFrame:
     """The best candidate of each row within its block: (row columns, candidate columns, score), matched rows only.
 
     The ``examined`` candidates of the best rough score are looked at, those below least - 0.2 not at all; the winner
-    must reach ``least`` and be ``valid``; ties go by ``order``.
+    must reach ``least`` and be ``valid``; ties go by ``order``. ``row_columns`` and ``candidate_columns`` are what the
+    score reads besides the block (None: any column): rows that agree in them are scored once, and of candidates that
+    agree, which tie for every row, only the first ``examined`` count. So pairs grow with the different lines of a block.
     """
-    scored = rows.join(candidates, block).withColumn("score", F.round(score, 6))
-    near = top_k(scored, [row_id], [F.col("score").desc(), *order], examined).where(F.col("score") >= least - 0.2)
-    return top_k(near.where((F.col("score") >= least) & valid), [row_id], [F.col("score").desc(), *order], 1)
+    mine, theirs = [c if c is not None else [x for x in df.columns if x != block] for c, df in ((row_columns, rows), (candidate_columns, candidates))]
+    kind, other = F.struct(block, *mine).alias("__kind"), F.struct(block, *theirs).alias("__other")
+    few = top_k(candidates.where(F.col(block).isNotNull()).withColumn("__other", other), ["__other"], order, examined)
+    lines = rows.where(F.col(block).isNotNull()).select(kind).distinct().select("__kind", "__kind.*")
+    scored = lines.join(few.select("__other").distinct().select("__other", *[F.col("__other")[c].alias(c) for c in [block, *theirs]]), block).withColumn("score", F.round(score, 6)).where(F.col("score") >= least - 0.2)
+    near = top_k(scored.select("__kind", "__other", "score").join(few.drop(block), "__other"), ["__kind"], [F.col("score").desc(), *order], examined).drop("__other")
+    every = top_k(rows.withColumn("__kind", kind).join(near.hint("merge"), "__kind").drop("__kind"), [row_id], [F.col("score").desc(), *order], examined)
+    return top_k(every.where((F.col("score") >= least) & valid), [row_id], [F.col("score").desc(), *order], 1)
 
 
 def planning_tokens(address: Column, ignored: tuple[str, ...] = FILL, places: str = "SURREY|UNITED KINGDOM|UK") -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.text import jaccard
 from plinth.operators import fuzzy, lookup, rules
+from plinth.operators.dedup import spread
 from plinth.plans.registry import query, table
 
 _NEW = "SELECT o_orderkey AS id, 'E' || o_orderkey AS k1, o_custkey || '|' || strftime(o_orderdate, '%Y%m%d') AS k2, o_custkey || '|' || o_orderstatus AS k3, o_custkey AS donor, CAST(floor(o_totalprice) AS BIGINT) AS price FROM orders"
@@ -94,14 +95,14 @@ def token_match_best(spark: SparkSession, sf_dir: str) -> DataFrame:
         k = F.col(key)
         return F.concat_ws(" ", (k % 40).cast("string"), F.get(trees, (k % 4).cast("int")), F.lit("COTTAGE"), kind)
 
-    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    c, s = spread(table(spark, sf_dir, "customer"), "c_custkey"), table(spark, sf_dir, "supplier")
     blank = F.lit("")
     left = c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("block"), line("c_custkey", F.col("c_mktsegment")).alias("la"))
     right = s.select(F.col("s_suppkey").alias("site"), F.col("s_nationkey").alias("block"), line("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "BUILDING").otherwise("MACHINERY")).alias("ra"), "s_acctbal")
     left = left.withColumn("lt", fuzzy.address_tokens(F.col("la"), blank, blank)).withColumn("ln", fuzzy.numbers(F.col("la"))).drop("la")
     right = right.withColumn("rt", fuzzy.address_tokens(F.col("ra"), blank, blank)).withColumn("rn", fuzzy.numbers(F.col("ra"))).drop("ra")
     score = fuzzy.token_score(F.col("lt"), F.col("rt"), F.col("ln"), F.col("rn"), blank, blank)
-    return fuzzy.best_token_match(left, right, "block", "id", score, F.col("s_acctbal") > 0, [F.col("site")]).select("id", "site", "score")
+    return fuzzy.best_token_match(left, right, "block", "id", score, F.col("s_acctbal") > 0, [F.col("site")], row_columns=["lt", "ln"], candidate_columns=["rt", "rn"]).select("id", "site", "score")
 
 
 @query("""

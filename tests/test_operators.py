@@ -87,6 +87,29 @@ def test_token_score(spark):
     assert got == [pytest.approx(round(0.55 + 0.35 * M(None, "FLAT 2 OAK", "OAK FLAT 2").ratio() + 0.1, 3)), pytest.approx(round((0.55 / 3 + 0.35 * M(None, "12 OAK", "14 OAK").ratio()) * 0.45, 3)), 0.0]
 
 
+def test_best_match_scores_lines_once(spark):
+    lines = ["1 OAK", "2 ELM", "3 OAK"]
+    left = [(k, k % 2, lines[k % 3]) for k in range(60)] + [(60, None, "1 OAK"), (7, 1, "3 OAK"), (61, 0, None)]
+    right = [(k, k % 2, [*lines, "OAK"][k % 4], k % 5) for k in range(200)] + [(200, None, "1 OAK", 1)]
+    rows, found = table(spark, left, "id int, b int, l string"), table(spark, right, "site int, b int, r string, ok int")
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(a, b):
+        scored.add(1)
+        return -1.0 if a is None else 0.3 + 0.3 * (a == b) + 0.1 * (a.split()[-1] == b.split()[-1])
+
+    got = fuzzy.best_token_match(rows, found, "b", "id", score("l", "r"), F.col("ok") > 3, [F.col("site").desc()], row_columns=["l"], candidate_columns=["r"]).persist()
+    points = lambda a, b: -1.0 if a is None else round(0.3 + 0.3 * (a == b) + 0.1 * (a.split()[-1] == b.split()[-1]), 6)
+    want = {}
+    for k in {r[0] for r in left}:
+        every = sorted((-points(a, r), -site, ok) for i, b, a in left for site, c, r, ok in right if i == k and b is not None and b == c)
+        best = [(k, -site, -s) for s, site, ok in every[:8] if -s >= 0.55 and ok > 3]
+        want |= {k: best[0]} if best else {}
+    assert pairs(got, "id", "site", "score") == sorted(want.values()) and len(want) > 20
+    assert scored.value <= 2 * 2 * 4 * 4 * 2  # of 6,000 pairs; an expression may be worked out for a filter and a result
+
+
 def test_anchor(spark):
     props = table(spark, [("p1", "1 OAK", "B"), ("p2", "OAK LODGE", "B")], "property_id string, address string, block string")
     known = table(spark, [("p2", "2020-01-01", 5)], "property_id string, date string, price long")
