@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.text import SPACES, canonical, clean, jaccard, postcode, ratcliff_ratio, text
-from plinth.operators.dedup import top_k
+from plinth.operators.dedup import spread, top_k
 
 NOISE = ("A", "AN", "AND", "APARTMENT", "AT", "FLAT", "HOUSE", "PROPERTY", "SURREY", "THE", "UNIT")
 FILL = ("AVE", "AVENUE", "LANE", "LN", "RD", "ROAD", "ST", "STREET", "THE")
@@ -77,17 +77,22 @@ def match_applications(properties: DataFrame, applications: DataFrame, least: fl
 
     properties: property_id, address, postcode, uprn; applications: reference, site_address, postcode, uprn. A property
     with hits by reference number takes those, with confidence 1; the others are scored against applications of their
-    postcode. Scores are worked out once per distinct pair of addresses.
+    postcode. Scores are worked out once per distinct pair of addresses, so only what is returned grows with copies.
     """
     p, a = properties.dropDuplicates(["property_id"]), applications
     sure = p.where("uprn <> ''").join(a.where("uprn <> ''").select("reference", "uprn"), "uprn").select("property_id", "reference", F.lit(1.0).alias("confidence"), F.lit("uprn").alias("method"))
-    rest = p.join(sure.select("property_id").distinct(), "property_id", "left_anti").where("postcode <> ''")
-    pairs = rest.select("property_id", "address", "postcode").join(a.select("reference", "site_address", "postcode"), "postcode")
-    # The ratio and the first word add 0.45 at most: pairs whose common words can't make up the rest never reach Python.
-    left, right = planning_tokens(F.col("address")), planning_tokens(F.col("site_address"))
-    distinct = pairs.select("address", "site_address").distinct().withColumn("__l", left).withColumn("__r", right).where(jaccard(F.col("__l"), F.col("__r")) * 0.55 + 0.4501 >= least)
-    distinct = distinct.withColumn("confidence", planning_score(F.col("__l"), F.col("__r"))).drop("__l", "__r")
-    near = pairs.join(distinct.where(F.col("confidence") >= least), ["address", "site_address"]).select("property_id", "reference", "confidence", F.lit("address").alias("method"))
+    rest = p.join(sure.select("property_id").distinct(), "property_id", "left_anti").where("postcode <> ''").select("property_id", "address", "postcode")
+    # Words are taken once from each address, and postcodes pair different addresses alone. The ratio and the first word
+    # add 0.45 at most: pairs whose common words can't make up the rest never reach Python.
+    ours, theirs = rest.select("postcode", "address").distinct(), a.select("postcode", "site_address").distinct()
+    left, right = [df.select(c).distinct().withColumn(t, planning_tokens(F.col(c))) for df, c, t in ((ours, "address", "__l"), (theirs, "site_address", "__r"))]
+    pairs = ours.join(theirs, "postcode")
+    alike = pairs.select("address", "site_address").distinct().join(left, "address").join(right, "site_address").where(jaccard(F.col("__l"), F.col("__r")) * 0.55 + 0.4501 >= least)
+    alike = alike.withColumn("confidence", planning_score(F.col("__l"), F.col("__r"))).where(F.col("confidence") >= least).drop("__l", "__r")
+    hits = pairs.join(alike, ["address", "site_address"])
+    # What is returned grows with the product of equal addresses on both sides; it is made in many parts of few rows.
+    references = spread(a.select("reference", "site_address", "postcode"), "reference").join(hits, ["postcode", "site_address"])
+    near = references.join(spread(rest, "property_id"), ["postcode", "address"]).select("property_id", "reference", "confidence", F.lit("address").alias("method"))
     return sure.unionByName(near)
 
 
