@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.geo import cell, haversine_m, polygon_distance_km
-from plinth.operators.dedup import top_k
+from plinth.operators.dedup import spread, top_k
 
 
 def _cells(low: Column, high: Column, size: float) -> Column:
@@ -30,6 +30,45 @@ def within(points: DataFrame, sites: DataFrame, metres: float, site_columns: lis
     return pairs.where(F.col("distance") <= metres).drop("__y", "__x", "__lat", "__lon")
 
 
+#: Levels of the grid in ``_closest``, each of half the size: from the whole reach to a few metres. Cells are wider than high by so much.
+_LEVELS, _WIDER = 10, 1.6
+
+
+def _closest(points: DataFrame, sites: DataFrame, keys: list[str], most: int, metres: float, certain: float = 90.0) -> DataFrame:
+    """Pairs of a point and its sites that may be among the ``most`` closest within ``metres``, with ``distance``: all that are, and few others.
+
+    points: ``keys``, lat, lon, a place once; sites: ``keys``, __lat, __lon, others. The smallest cell around a point that
+    holds enough sites says how far these are at most, and only cells within that are looked at, so pairs grow with the
+    points, however close sites lie. A metre is added, so rounding to metres leaves no tie out. ``certain``: larger cells,
+    in degrees, don't count as enough.
+    """
+    sizes = F.array(*[F.lit(max(metres / 111_000 * 1.01, 1e-4) / 2**k) for k in range(_LEVELS)])
+    size = F.get(sizes, F.col("__level"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))).alias("__level")
+
+    def y(c: Column) -> Column:
+        return F.floor(c / size).cast("long")
+
+    def x(c: Column) -> Column:
+        return F.floor(c / (size * _WIDER)).cast("long")
+
+    cells = [*keys, "__level", "__y", "__x"]
+    tiled = sites.select("*", levels).withColumn("__y", y(F.col("__lat"))).withColumn("__x", x(F.col("__lon")))
+    full = tiled.groupBy(*cells).agg(F.count("*").alias("__n")).where((F.col("__n") >= most) & (size * _WIDER <= certain)).drop("__n")
+    own = points.select(*keys, "lat", "lon", levels).withColumn("__y", y(F.col("lat"))).withColumn("__x", x(F.col("lon")))
+    found = own.join(full, cells, "left_semi").groupBy(*keys, "lat", "lon").agg(F.max("__level").alias("__level"))
+    at = spread(points.select(*keys, "lat", "lon").join(found, [*keys, "lat", "lon"], "left"), "lat", "__level")
+    # No site of a cell is farther than its height and its width, taken where it is widest.
+    wide = F.cos(F.radians(F.greatest(F.lit(0.0), F.abs("lat") - size)))
+    reach = F.least(F.lit(float(metres)), F.hypot(size, size * _WIDER * wide) * 111_320 * 1.01) + 1
+    at = at.withColumn("__reach", F.when(F.col("__level").isNull(), metres + 1.0).otherwise(reach)).withColumn("__level", F.coalesce("__level", F.lit(0)))
+    up = F.col("__reach") / 111_000
+    across = F.least(F.lit(360.0), up / F.greatest(F.lit(0.001), F.cos(F.radians(F.least(F.lit(90.0), F.abs("lat") + up)))))
+    around = at.withColumn("__y", F.explode(F.sequence(y(F.col("lat") - up), y(F.col("lat") + up)))).withColumn("__x", F.explode(F.sequence(x(F.col("lon") - across), x(F.col("lon") + across))))
+    away = around.join(tiled, cells).withColumn("distance", haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
+    return away.where((F.col("distance") <= F.col("__reach")) & (F.col("distance") <= metres)).drop("__level", "__y", "__x", "__reach")
+
+
 def nearest(points: DataFrame, sites: DataFrame, point_id: str, block: str, order: str, site_columns: list[str], metres: float = 150.0, grid: float = 0.01, ring: int = 2) -> DataFrame:
     """The nearest site of each point, at most ``metres`` away; among sites of the point's block if it has any, else of the cells around it.
 
@@ -52,13 +91,18 @@ def nearest_listed(points: DataFrame, sites: DataFrame, point_id: str, name: str
     """(point_id, nearest, best): the ``most`` nearest sites as structs by whole metres, and the best rated one of these: the nearest of the first rating that occurs, else the nearest rated at all.
 
     Ties go by ``order``, a column of the sites (their place in the source), or else by name. Only the nearest of a
-    point are gathered, however many are within reach.
+    point are gathered, however many are within reach; points of one place are looked up once.
     """
     own = [name, rating] if order in (None, name, rating) else [name, rating, order]
-    pairs = within(points, sites, metres, own).withColumn("metres", F.round("distance").cast("long"))
+    places = points.select("lat", "lon").distinct()
+    few = top_k(sites.select(*own, F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).where("__lat is not null and __lon is not null"), ["__lat", "__lon"], [F.col(c) for c in dict.fromkeys([order or name, name, rating])], most)
+    pairs = _closest(places, few, [], most, metres).withColumn("metres", F.round("distance").cast("long"))
     entry = F.struct("metres", F.col(order or name).alias("order"), F.col(name).alias("name"), F.col(rating).alias("rating"))
-    near = top_k(pairs.select(point_id, entry.alias("__entry")), [point_id], [F.col("__entry")], most)
-    listed = near.groupBy(point_id).agg(F.array_sort(F.collect_list("__entry")).alias("nearest"))
+    near = top_k(pairs.select("lat", "lon", entry.alias("__entry")), ["lat", "lon"], [F.col("__entry")], most)
+    listed = near.groupBy("lat", "lon").agg(F.array_sort(F.collect_list("__entry")).alias("nearest"))
+    # Rows of one point_id are one point, which may be in several places.
+    gathered = points.select(point_id, "lat", "lon").join(listed, ["lat", "lon"]).groupBy(point_id).agg(F.flatten(F.collect_list("nearest")).alias("nearest"))
+    listed = gathered.withColumn("nearest", F.slice(F.array_sort("nearest"), 1, most))
     every = listed.withColumn("nearest", F.transform("nearest", lambda s: F.struct(s["metres"].alias("metres"), s["name"].alias("name"), s["rating"].alias("rating"))))
 
     def first_of(wanted: str) -> Column:

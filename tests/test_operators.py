@@ -136,6 +136,44 @@ def test_nearest(spark):
     assert got == [(1, 10, True), (2, 11, False)]  # the block's site wins though farther; ties by site; none within reach of 3
 
 
+def test_crowded_sites(spark):
+    import math
+    import random
+
+    rng = random.Random(4)
+    spot = lambda: (51 + rng.randrange(60) / 2000, -0.5 + rng.randrange(60) / 2000)
+    points = [(k, f"B{k % 4}", *spot()) for k in range(120)] + [(120, "B1", None, -0.5), (121, None, 51.0, -0.5)]
+    sites = [(k, f"B{k % 3}", f"s{k}", *spot()) for k in range(700)] + [(k, "B0", f"s{k}", 51.01, -0.49) for k in range(700, 1000)] + [(1000, "B1", "s1000", None, None)]
+    ps, ss = table(spark, points, "id int, block string, lat double, lon double"), table(spark, sites, "site int, block string, name string, lat double, lon double")
+
+    def away(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return 2 * 6_371_000 * math.asin(math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2))
+
+    listed, near, square = {}, {}, {}
+    for k, block, lat, lon in points:
+        reach = [] if lat is None else sorted((away(lat, lon, y, x), s, b, y, x) for s, b, _, y, x in sites if y is not None)
+        if five := sorted((math.floor(d + 0.5), s) for d, s, *_ in reach if d <= 1500)[:5]:
+            listed[k] = five
+        cells = lambda a, b: abs(math.floor(a / 0.01) - math.floor(b / 0.01)) <= 2
+        own = [r for r in reach if r[2] == block] if block in ("B0", "B1", "B2") else [r for r in reach if cells(lat, r[3]) and cells(lon, r[4])]
+        if own and own[0][0] <= 1500:
+            near[k] = round(own[0][0], 3)
+        box = [r for r in reach if abs(r[3] - lat) <= 1200 / 111_320 and abs(r[4] - lon) <= 1200 / (111_320 * math.cos(math.radians(lat)))]
+        if box:
+            square[k] = (len(box), sum(r[0] <= 1200 for r in box), sum(r[0] > 1200 for r in box))
+    got = spatial.nearest_listed(ps, ss.withColumn("rating", F.lit("")), "id", "name", "rating", 1500, order="site").collect()
+    assert {r["id"]: [(s["metres"], int(s["name"][1:])) for s in r["nearest"]] for r in got} == listed and len(listed) > 100
+    got = spatial.nearest(ps, ss, "id", "block", "site", ["site"], 1500).collect()
+    place = {s: (y, x) for s, _, _, y, x in sites}
+    assert {r["id"]: round(away(r["lat"], r["lon"], *place[r["site"]]), 3) for r in got} == near and len(near) > 100
+    got = spatial.in_square_then_circle(ps, ss.withColumnRenamed("site", "site_id"), "id", 1200).collect()
+    assert {r["id"]: (r["in_square"], r["in_circle"], r["outside"]) for r in got} == square
+    # Of 120 x 700 pairs and more, few are compared.
+    few = dedup.top_k(ss.selectExpr("site", "lat __lat", "lon __lon").where("lat is not null"), ["__lat", "__lon"], [F.col("site")], 1)
+    assert spatial._closest(ps.select("lat", "lon").distinct(), few, [], 1, 1500).count() < 120 * 40
+
+
 def test_listed_and_alerts(spark):
     points = table(spark, [(1, 51.0, 0.0), (2, 53.0, 0.0)], "id int, lat double, lon double")
     sites = table(spark, [(f"s{k}", r, 51.0 + k / 1000, 0.0) for k, r in enumerate(["", "Good", "", "", "", "", "", "Outstanding"])], "name string, rating string, lat double, lon double")
