@@ -74,17 +74,24 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, block: str, orde
 
     Adds the site's columns, ``distance`` in whole metres and ``blocked`` (by block or by grid); points without a site
     are left out. Ties go to the least ``order``. A point whose block has sites takes none from elsewhere, however near.
+    Points of one place and block are looked up once; of sites in one place only the first by ``order`` counts.
     """
-    s = sites.select(*site_columns, F.col(block).alias("__block"), F.col(order).alias("__order"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
-    away = haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon"))
-    by_block = points.join(s, (points[block] == s["__block"]) & (points[block] != ""))
-    alone = points.join(s.select("__block").distinct(), (points[block] == F.col("__block")) & (points[block] != ""), "left_anti")
-    offsets = F.sequence(F.lit(-ring), F.lit(ring))
-    around = alone.withColumn("__y", F.explode(F.transform(offsets, lambda d: cell(F.col("lat"), grid) + d))).withColumn("__x", F.explode(F.transform(offsets, lambda d: cell(F.col("lon"), grid) + d)))
-    by_grid = around.join(s.withColumn("__y", cell(F.col("__lat"), grid)).withColumn("__x", cell(F.col("__lon"), grid)), ["__y", "__x"]).drop("__y", "__x")
-    both = by_block.withColumn("blocked", F.lit(True)).unionByName(by_grid.withColumn("blocked", F.lit(False))).withColumn("distance", away)
-    best = top_k(both, [point_id], [F.col("distance"), F.col("__order")], 1).where(F.col("distance") <= metres)
-    return best.withColumn("distance", F.round("distance").cast("long")).drop("__block", "__order", "__lat", "__lon")
+    s = sites.select(F.struct(*site_columns).alias("__site"), F.coalesce(F.col(block), F.lit("")).alias("__block"), F.col(order).alias("__order"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).where("__lat is not null and __lon is not null")
+    p = points.withColumn("__block", F.coalesce(F.col(block), F.lit("")))
+    places = p.select("__block", "lat", "lon").distinct()
+    blocks = sites.select(F.col(block).alias("__block")).where("__block <> ''").distinct()
+    inside, alone = places.join(blocks, "__block", "left_semi"), places.join(blocks, "__block", "left_anti")
+    by_block = _closest(inside, top_k(s, ["__block", "__lat", "__lon"], [F.col("__order")], 1), ["__block"], 1, metres)
+    anywhere = top_k(s.drop("__block"), ["__lat", "__lon"], [F.col("__order")], 1)
+    by_grid = _closest(alone.select("lat", "lon").distinct(), anywhere, [], 1, metres, grid * ring / 2)
+    for one, other in (("lat", "__lat"), ("lon", "__lon")):
+        by_grid = by_grid.where(F.abs(cell(F.col(one), grid) - cell(F.col(other), grid)) <= ring)
+    by_grid = top_k(by_grid, ["lat", "lon"], [F.col("distance"), F.col("__order")], 1).join(alone, ["lat", "lon"])
+    by_block = top_k(by_block, ["__block", "lat", "lon"], [F.col("distance"), F.col("__order")], 1)
+    both = by_block.withColumn("blocked", F.lit(True)).unionByName(by_grid.withColumn("blocked", F.lit(False)))
+    best = p.join(both.drop("__lat", "__lon"), ["__block", "lat", "lon"])
+    best = top_k(best, [point_id], [F.col("distance"), F.col("__order")], 1)
+    return best.select(*points.columns, "__site.*", F.round("distance").cast("long").alias("distance"), "blocked")
 
 
 def nearest_listed(points: DataFrame, sites: DataFrame, point_id: str, name: str, rating: str, metres: float = 4000.0, most: int = 5, ratings: tuple[str, ...] = ("Outstanding", "Good"), order: str | None = None) -> DataFrame:
