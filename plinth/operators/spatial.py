@@ -140,9 +140,19 @@ def polygon_alerts(points: DataFrame, alerts: DataFrame, point_id: str, km: floa
 
 
 def in_square_then_circle(points: DataFrame, sites: DataFrame, point_id: str, metres: float = 1200.0) -> DataFrame:
-    """(point_id, in_square, in_circle, outside): counts of a square prefilter and of the exact radius after it."""
-    pairs = within(points, sites, metres * 1.5, ["site_id", F.col("lat").alias("slat"), F.col("lon").alias("slon")])  # type: ignore[list-item]
+    """(point_id, in_square, in_circle, outside): counts of a square prefilter and of the exact radius after it.
+
+    Places are counted first, points and sites alike, so pairs grow with the different places."""
+    places, counted = [df.where("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.count("*").alias("__n")) for df in (points, sites)]
+    pairs = within(spread(places.select("lat", "lon"), "lat"), counted, metres * 1.5, ["__n", F.col("lat").alias("slat"), F.col("lon").alias("slon")])  # type: ignore[list-item]
     dy = metres / 111_320
     dx = F.lit(metres) / (111_320 * F.greatest(F.lit(0.2), F.cos(F.radians("lat"))))
     square = pairs.where((F.abs(F.col("slat") - F.col("lat")) <= dy) & (F.abs(F.col("slon") - F.col("lon")) <= dx))
-    return square.groupBy(point_id).agg(F.count("*").alias("in_square"), F.count_if(F.col("distance") <= metres).alias("in_circle"), F.count_if(F.col("distance") > metres).alias("outside"))
+
+    def total(c: Column, n: str) -> Column:
+        return F.coalesce(F.sum(F.when(c, F.col(n))), F.lit(0))
+
+    near = F.col("distance") <= metres
+    by_place = square.groupBy("lat", "lon").agg(F.sum("__n").alias("in_square"), total(near, "__n").alias("in_circle"), total(~near, "__n").alias("outside"))
+    both = points.select(point_id, "lat", "lon").join(by_place, ["lat", "lon"])
+    return both.groupBy(point_id).agg(*[F.sum(c).alias(c) for c in ("in_square", "in_circle", "outside")])
