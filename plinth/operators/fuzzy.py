@@ -91,7 +91,7 @@ def match_applications(properties: DataFrame, applications: DataFrame, least: fl
     alike = alike.withColumn("confidence", planning_score(F.col("__l"), F.col("__r"))).where(F.col("confidence") >= least).drop("__l", "__r")
     hits = pairs.join(alike, ["address", "site_address"])
     # What is returned grows with the product of equal addresses on both sides; it is made in many parts of few rows.
-    references = spread(a.select("reference", "site_address", "postcode"), "reference").join(hits, ["postcode", "site_address"])
+    references = spread(a.select("reference", "site_address", "postcode").join(hits, ["postcode", "site_address"]), "reference")
     near = references.join(spread(rest, "property_id"), ["postcode", "address"]).select("property_id", "reference", "confidence", F.lit("address").alias("method"))
     return sure.unionByName(near)
 
